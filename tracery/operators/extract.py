@@ -64,40 +64,55 @@ def direct_visits(tracked: DataFrame, plan_nodes: DataFrame) -> DataFrame:
     )
 
 
-def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = True) -> DataFrame:
+def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = True,
+                  unroll: int = 4) -> DataFrame:
     """I9 + I10: leaves of the cached plans of visited in-memory relations.
 
     An ``InMemoryTableScanExec`` leaf stands for another cached relation; its
     ``cached`` children are that relation's plan, so the closure simply keeps
-    following ``cached`` edges. Each round is one join; rounds are
-    checkpointed to the shared checkpoint folder so lineage stays short and
-    a lost executor recomputes only the current round. Effective leaves are
-    reached nodes without ``cached`` children.
+    following ``cached`` edges. Levels are joins over the ``cached`` subset of
+    ``plan_nodes``; ``unroll`` levels are planned lazily, then one cheap
+    emptiness test on the next level decides whether deeper nesting exists.
+    Deeper levels continue in rounds, each cut by a reliable checkpoint.
+    Effective leaves are reached nodes without ``cached`` children.
     """
-    carry = ("owner", "env", "input_override")
-    frontier = visits.filter((F.col("pass") == 1) & (F.col("node_class") == CACHE_CLASS)).select(
-        KEY, F.col("node_id").alias("owner"), F.col("node_id").alias("parent_id"), "env", "input_override"
-    )
+    # The closure only needs plan_nodes: start from every in-memory relation
+    # of the tree proper, then keep the owners the plan walk visits.
+    frontier = plan_nodes.filter(
+        (F.col("node_class") == CACHE_CLASS) & F.col("edge_kind").isin("root", "child")
+    ).select(KEY, F.col("node_id").alias("owner"), F.col("node_id").alias("parent_id"))
     cached = plan_nodes.filter(F.col("edge_kind") == "cached").select(
         KEY, "parent_id", "node_id", "node_class", *NODE_ATTRS
     )
+
+    def deeper(front: DataFrame) -> DataFrame:
+        return front.join(cached, [KEY, "parent_id"], "inner").select(
+            KEY, "owner", "node_id", "node_class", *NODE_ATTRS
+        )
+
+    def next_front(level: DataFrame) -> DataFrame:
+        return level.select(KEY, "owner", F.col("node_id").alias("parent_id"))
+
     levels: list[DataFrame] = []
     while True:
-        step = frontier.join(cached, [KEY, "parent_id"], "inner").select(
-            KEY, *carry, "node_id", "node_class", *NODE_ATTRS
-        )
-        if checkpoint:
-            step = step.checkpoint(eager=True)
-        if step.isEmpty():
+        for _ in range(unroll):
+            level = deeper(frontier)
+            levels.append(level)
+            frontier = next_front(level)
+        probe = deeper(frontier)
+        if probe.isEmpty():
             break
-        levels.append(step)
-        frontier = step.select(KEY, "owner", F.col("node_id").alias("parent_id"), "env", "input_override")
-    if not levels:
-        return visits.limit(0)
+        # Nesting deeper than the unrolled levels: cut lineage and go on.
+        frontier = next_front(probe.checkpoint(eager=True) if checkpoint else probe)
+        levels.append(probe)
+    owners = visits.filter((F.col("pass") == 1) & (F.col("node_class") == CACHE_CLASS)).select(
+        KEY, F.col("node_id").alias("owner"), "env", "input_override"
+    )
     reached = reduce(DataFrame.unionByName, levels)
     parents = cached.select(KEY, F.col("parent_id").alias("node_id")).distinct()
     return (
         reached.join(parents, [KEY, "node_id"], "left_anti")
+        .join(owners, [KEY, "owner"], "inner")
         .select(
             KEY, F.lit(1).alias("pass"), F.col("owner").alias("node_id"), F.col("node_id").alias("leaf_id"),
             "node_class", *NODE_ATTRS, "env", "input_override", F.col("node_id").alias("col_node"),

@@ -51,7 +51,12 @@ class LineagePlan:
 
     @cached_property
     def items(self) -> DataFrame:
-        return X.relation_items(self.direct_visits.unionByName(self.cached_leaves))
+        items = X.relation_items(self.direct_visits.unionByName(self.cached_leaves))
+        return self._cut(items.repartition(G.KEY))
+
+    def _cut(self, frame: DataFrame) -> DataFrame:
+        """Reliable checkpoint: later steps reuse the rows and a short plan."""
+        return frame.checkpoint(eager=True) if self.checkpoint else frame
 
     @cached_property
     def outputs(self) -> DataFrame:
@@ -67,7 +72,7 @@ class LineagePlan:
 
     @cached_property
     def alive(self) -> DataFrame:
-        return Rec.survivors(self.tracked, self.failed)
+        return self._cut(Rec.survivors(self.tracked, self.failed))
 
     # -- lineage ---------------------------------------------------------------
     @cached_property
