@@ -23,8 +23,10 @@ from tracery.operators import records as Rec
 class LineagePlan:
     def __init__(self, executions: DataFrame, plan_nodes: DataFrame, plan_columns: DataFrame,
                  listener: tuple[str, ...] = ("app_name",), dev_markers: tuple[str, ...] = R.DEV_MARKERS,
-                 checkpoint: bool = True):
+                 checkpoint: bool = True, seen_listeners: DataFrame | None = None):
         self.executions = executions
+        # Listeners that already emitted (streaming state): no first event again.
+        self.seen_listeners = seen_listeners
         self.plan_nodes = plan_nodes
         self.plan_columns = plan_columns
         self.listener = listener
@@ -115,7 +117,10 @@ class LineagePlan:
     # -- emission --------------------------------------------------------------
     @cached_property
     def first_events(self) -> DataFrame:
-        return Rec.first_events(self.alive, self.listener)
+        firsts = Rec.first_events(self.alive, self.listener)
+        if self.seen_listeners is not None:
+            firsts = firsts.join(self.seen_listeners.select(*self.listener), list(self.listener), "left_anti")
+        return firsts
 
     @cached_property
     def aspects(self) -> DataFrame:
