@@ -65,7 +65,7 @@ def direct_visits(tracked: DataFrame, plan_nodes: DataFrame) -> DataFrame:
 
 
 def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = True,
-                  unroll: int = 4) -> DataFrame:
+                  unroll: int = 2) -> DataFrame:
     """I9 + I10: leaves of the cached plans of visited in-memory relations.
 
     An ``InMemoryTableScanExec`` leaf stands for another cached relation; its
@@ -84,6 +84,13 @@ def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = T
     cached = plan_nodes.filter(F.col("edge_kind") == "cached").select(
         KEY, "parent_id", "node_id", "node_class", *NODE_ATTRS
     )
+    if checkpoint:
+        # The cached edges are a small slice of plan_nodes that every level
+        # joins: write it once (bucketed like the inputs) instead of
+        # rescanning plan_nodes per level.
+        from tracery.session import write_table
+
+        cached = write_table(cached, "cached_edges", bucket_by=KEY)
 
     def deeper(front: DataFrame) -> DataFrame:
         return front.join(cached, [KEY, "parent_id"], "inner").select(
@@ -144,10 +151,19 @@ def relation_items(visits: DataFrame) -> DataFrame:
     path = F.col("path")
     is_file = (sub == 1) & (F.col("relation_class") == "HadoopFsRelation")
     is_jdbc = (sub == 1) & F.coalesce(F.col("relation_class").contains("JDBCRelation"), F.lit(False))
-    hive_path = is_file & path.isNotNull() & R.path_is_hive(path)
-    file_path = is_file & path.isNotNull() & ~R.path_is_hive(path)
-    hive_name = R.hive_name_from_path(path)
-    jdbc_platform = R.jdbc_platform("jdbc_url")
+    # Split-based rules run once per row and only where they apply.
+    prepared = items.select(
+        "*",
+        F.coalesce(is_file & path.isNotNull(), F.lit(False)).alias("_is_file"),
+        is_jdbc.alias("_is_jdbc"),
+        F.when(is_file & R.path_is_hive(path), R.hive_name_from_path(path)).alias("_hive_name"),
+        F.when(is_jdbc, R.jdbc_platform("jdbc_url")).alias("_jplat"),
+    )
+    hive_path = F.col("_is_file") & R.path_is_hive(path)
+    file_path = F.col("_is_file") & ~R.path_is_hive(path)
+    hive_name = F.col("_hive_name")
+    jdbc_platform = F.col("_jplat")
+    is_jdbc = F.col("_is_jdbc")
 
     platform = (
         F.when(sub == 0, F.lit(R.HIVE_PLATFORM))
@@ -166,11 +182,11 @@ def relation_items(visits: DataFrame) -> DataFrame:
         .when(is_jdbc & F.col("jdbc_table").isNull(), F.lit(R.FAIL_READ_NO_TABLE))
         .when(is_jdbc & jdbc_platform.isNull(), F.lit(R.FAIL_URL_NO_PLATFORM))
     )
-    return items.select(
+    return prepared.select(
         KEY, "pass", "node_id", "leaf_id", "sub", "node_class", "env", "col_node",
         platform.alias("platform"), name.alias("name"), fail.alias("fail_reason"),
-        F.coalesce((sub == 0) | is_file | is_jdbc, F.lit(False)).alias("records_schema"),
-        F.coalesce(file_path, F.lit(False)).alias("file_record"),
+        ((sub == 0) | F.col("_is_file") | is_jdbc).alias("records_schema"),
+        file_path.alias("file_record"),
     ).withColumn("urn", _urn_or_null())
 
 

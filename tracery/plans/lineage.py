@@ -18,6 +18,7 @@ from tracery.operators import catalog as C
 from tracery.operators import extract as X
 from tracery.operators import gates as G
 from tracery.operators import records as Rec
+from tracery.session import write_table
 
 
 class LineagePlan:
@@ -54,11 +55,12 @@ class LineagePlan:
     @cached_property
     def items(self) -> DataFrame:
         items = X.relation_items(self.direct_visits.unionByName(self.cached_leaves))
-        return self._cut(items.repartition(G.KEY))
+        return self._cut(items, "items")
 
-    def _cut(self, frame: DataFrame) -> DataFrame:
-        """Reliable checkpoint: later steps reuse the rows and a short plan."""
-        return frame.checkpoint(eager=True) if self.checkpoint else frame
+    def _cut(self, frame: DataFrame, name: str) -> DataFrame:
+        """Materialize a step reused by many later ones: written once to the
+        shared checkpoint folder, bucketed by execution, then read back."""
+        return write_table(frame, name, bucket_by=G.KEY) if self.checkpoint else frame
 
     @cached_property
     def outputs(self) -> DataFrame:
@@ -74,7 +76,7 @@ class LineagePlan:
 
     @cached_property
     def alive(self) -> DataFrame:
-        return self._cut(Rec.survivors(self.tracked, self.failed))
+        return self._cut(Rec.survivors(self.tracked, self.failed), "alive")
 
     # -- lineage ---------------------------------------------------------------
     @cached_property

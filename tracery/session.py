@@ -24,6 +24,10 @@ RUNTIME_CONF = {
     # Joins on (execution_id, node_id) may reuse a partitioning on
     # execution_id alone: all per-execution work stays in one exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Lineage joins pair large per-execution tables that are bucketed alike;
+    # sort-merge joins on the buckets need no exchange. Small sides are
+    # broadcast explicitly, after their size is checked.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 
 
@@ -76,3 +80,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tracery-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_TABLE_SEQ = [0]
+
+
+def write_table(frame, name: str, bucket_by: str | None = None):
+    """Cut lineage by writing ``frame`` under the shared checkpoint folder.
+
+    Unlike a reliable RDD checkpoint this computes the frame once. With
+    ``bucket_by`` the table is bucketed like the lineage inputs (one bucket
+    per shuffle partition), so later joins on that key need no exchange.
+    """
+    spark = frame.sparkSession
+    _TABLE_SEQ[0] += 1
+    table = f"tracery_{name}_{os.getpid()}_{_TABLE_SEQ[0]}"
+    writer = frame.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, name))
+    if bucket_by:
+        writer = writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), bucket_by)
+    writer.saveAsTable(table)
+    return spark.table(table)
