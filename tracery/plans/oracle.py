@@ -376,6 +376,27 @@ select urn, removed from (
   select urn, removed, row_number() over (partition by urn order by seq desc) as rn from fx_flow_status) x
 where rn = 1""",
 }
+_APP_ID = "('local-' || substring(app_name, 5))"
+FINAL["sql_executions"] = f"""
+select execution_id, app_name, master, description, started_at, default_fs, input_override, output_override,
+       {_APP_ID} as app_id from fx_executions"""
+FINAL["app_starts"] = f"select {_APP_ID} as app_id, min(started_at) as time, 'spark' as user from fx_executions group by app_name"
+FINAL["app_ends"] = f"select {_APP_ID} as app_id, max(started_at) as time from fx_executions group by app_name"
+FINAL["session_settings"] = f"""
+select app_id, key, value from (
+  select {_APP_ID} as app_id, max(master) as master, app_name, max(default_fs) as fs,
+         max(input_override) as i, max(output_override) as o
+  from fx_executions group by app_name) a,
+  lateral (select 'spark.master' as key, master as value
+           union all select 'spark.app.name', app_name
+           union all select 'fs.defaultFS', fs
+           union all select 'spark.hdfs.ingestion.input.path', nullif(i, '')
+           union all select 'spark.hdfs.ingestion.output.path', nullif(o, '')) kv
+where value is not null"""
+FINAL["event_plan_nodes"] = ("select execution_id, node_id, parent_id, edge_kind, node_class, relation_class, "
+                             "catalog_db, catalog_table, path, jdbc_url, jdbc_table from fx_plan_nodes")
+FINAL["event_job_io"] = FINAL["job_io"]
+
 # The streamed catalog must equal the batch upsert; the stream replays
 # executions in time order, so its first events equal the batch ones.
 FINAL["stream_catalog_upsert"] = FINAL["catalog_upsert"]

@@ -210,6 +210,67 @@ def catalog_live(spark, sf_dir):
     return C.current_status(_prepare(spark, sf_dir)["flow_status"]).select("urn", "removed")
 
 
+# -- event logs (P2) -------------------------------------------------------------
+
+EXEC_COLS = ["execution_id", "app_name", "master", "description", "started_at", "default_fs",
+             "input_override", "output_override"]
+
+
+def _event_log(spark, sf_dir):
+    from tracery.sources import eventlog as EL
+
+    fx = _prepare(spark, sf_dir)
+    return fx, EL.lineage_tables(spark, fx.event_log())
+
+
+def _app_ids(events):
+    from tracery.sources import eventlog as EL
+
+    return EL.app_starts(events).select("app_key", "app_id")
+
+
+def sql_executions(spark, sf_dir):
+    _, t = _event_log(spark, sf_dir)
+    return t["executions"].select(*EXEC_COLS, "app_id")
+
+
+def app_starts(spark, sf_dir):
+    from tracery.sources import eventlog as EL
+
+    _, t = _event_log(spark, sf_dir)
+    return EL.app_starts(t["events"]).select("app_id", "time", "user")
+
+
+def app_ends(spark, sf_dir):
+    from tracery.sources import eventlog as EL
+
+    _, t = _event_log(spark, sf_dir)
+    return EL.app_ends(t["events"]).join(_app_ids(t["events"]), "app_key").select("app_id", "time")
+
+
+def session_settings(spark, sf_dir):
+    from tracery.sources import eventlog as EL
+
+    _, t = _event_log(spark, sf_dir)
+    return EL.session_settings(t["events"]).join(_app_ids(t["events"]), "app_key").select("app_id", "key", "value")
+
+
+def event_plan_nodes(spark, sf_dir):
+    from tracery.sources.eventlog import NODE_COLS
+
+    _, t = _event_log(spark, sf_dir)
+    return t["plan_nodes"].select(*NODE_COLS)
+
+
+def event_job_io(spark, sf_dir):
+    """Lineage records computed from the event log instead of the tables."""
+    from tracery.sources.eventlog import NODE_COLS
+
+    fx, t = _event_log(spark, sf_dir)
+    plan = LineagePlan(t["executions"].select(*EXEC_COLS), t["plan_nodes"].select(*NODE_COLS), fx.plan_columns)
+    return plan.job_io.select(KEY, "job_urn", "flow_urn", "input_urns", "output_urns", "n_inputs", "n_outputs")
+
+
 # -- streaming -----------------------------------------------------------------
 
 def stream_catalog_upsert(spark, sf_dir):
@@ -262,6 +323,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_after_reset": catalog_after_reset,
     "catalog_after_reset_p50": catalog_after_reset_p50,
     "catalog_live": catalog_live,
+    "sql_executions": sql_executions,
+    "app_starts": app_starts,
+    "app_ends": app_ends,
+    "session_settings": session_settings,
+    "event_plan_nodes": event_plan_nodes,
+    "event_job_io": event_job_io,
     "stream_catalog_upsert": stream_catalog_upsert,
     "stream_first_events": stream_first_events,
 }

@@ -230,6 +230,20 @@ class Fixtures:
             _WRITTEN[key] = table
         return self.spark.table(table)
 
+    def event_log(self) -> str:
+        """Event-log folder written from the fixture executions and plans
+        (once per application and folder)."""
+        from tracery.session import scratch_path
+        from tracery.sources import eventlog as EL
+
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "eventlog")
+        root = _WRITTEN.get(key)
+        if root is None:
+            root = EL.write_event_log(EL.encode_event_log(self.executions, self.plan_nodes),
+                                      scratch_path(self.spark, "eventlog"))
+            _WRITTEN[key] = root
+        return root
+
     def _runs_from_written(self) -> DataFrame:
         from tracery.operators.catalog import number_runs
 
