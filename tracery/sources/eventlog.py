@@ -87,7 +87,7 @@ def read_events(spark: SparkSession, root: str) -> DataFrame:
     """All event lines with the application key and event name."""
     name = root.rstrip("/").rsplit("/", 1)[-1]
     app_key = F.regexp_extract(F.input_file_name(), re.escape(name) + r"/([^/]+)", 1)
-    return spark.read.text(root).select(
+    return spark.read.option("recursiveFileLookup", "true").text(root).select(
         app_key.alias("app_key"),
         F.get_json_object("value", "$.Event").alias("event"),
         F.col("value").alias("json"),
@@ -271,13 +271,19 @@ def _node_rows(nodes: DataFrame) -> DataFrame:
         F.coalesce(meta.getItem("relationClass"), rel).alias("relation_class"),
         meta.getItem("catalogDb").alias("catalog_db"),
         meta.getItem("catalogTable").alias("catalog_table"),
-        F.coalesce(meta.getItem("path"), _location_path(meta)).alias("path"),
+        F.coalesce(meta.getItem("path"), _location_path(meta), _sink_path(F.col("simple"))).alias("path"),
         meta.getItem("jdbcUrl").alias("jdbc_url"),
         meta.getItem("jdbcTable").alias("jdbc_table"),
         "app_key", "node_name",
     )
 
 
+def _sink_path(simple: Column) -> Column:
+    """Output path of a file insert: first argument in its plan string."""
+    p = F.regexp_extract(simple, r"^Execute InsertIntoHadoopFsRelationCommand ([^,]+),", 1)
+    return F.when(p != "", p)
+
+
 # ---------------------------------------------------------------------------
 # Writing event logs from lineage tables (replay and round-trip checks).
 # ---------------------------------------------------------------------------
