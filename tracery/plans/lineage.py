@@ -60,7 +60,31 @@ class LineagePlan:
     def _cut(self, frame: DataFrame, name: str) -> DataFrame:
         """Materialize a step reused by many later ones: written once to the
         shared checkpoint folder, bucketed by execution, then read back."""
-        return write_table(frame, name, bucket_by=G.KEY) if self.checkpoint else frame
+        if not self.checkpoint:
+            return frame
+        table = write_table(frame, name, bucket_by=G.KEY)
+        self.written.append(table)
+        return table
+
+    @property
+    def written(self) -> list:
+        if "_written" not in self.__dict__:
+            self.__dict__["_written"] = []
+        return self.__dict__["_written"]
+
+    def still_written(self) -> bool:
+        """True while every table this plan wrote can still be read."""
+        try:
+            for frame in self.written:
+                frame.limit(0).collect()
+        except Exception:  # noqa: BLE001 - a dropped table or removed folder
+            return False
+        return True
+
+    def core(self) -> "LineagePlan":
+        """Run the extraction core now (relation items and survivors)."""
+        _ = self.items, self.alive
+        return self
 
     @cached_property
     def outputs(self) -> DataFrame:
@@ -152,9 +176,26 @@ class TwoRunCatalog:
         self.plan = LineagePlan(executions.join(run_cols, G.KEY, "inner"), plan_nodes, plan_columns,
                                 listener=("app_name", "run_no"), checkpoint=checkpoint)
 
-    @cached_property
+    def with_page_size(self, page_size: int) -> "TwoRunCatalog":
+        """Same runs and lineage core, another reset page size."""
+        other = object.__new__(TwoRunCatalog)
+        other.runs, other.relationships, other.plan = self.runs, self.relationships, self.plan
+        other.page_size = page_size
+        return other
+
+    @property
     def writes(self) -> DataFrame:
-        return self.plan.aspects.join(self.runs.select(G.KEY, "run_no"), G.KEY, "inner")
+        """All records both runs emit, written once (shared by every page
+        size) and bucketed by URN so the per-URN upserts that follow combine
+        within buckets."""
+        shared = self.plan.__dict__
+        if "_run_writes" not in shared:
+            writes = self.plan.aspects.join(self.runs.select(G.KEY, "run_no"), G.KEY, "inner")
+            if self.plan.checkpoint:
+                writes = write_table(writes, "run_writes", bucket_by="urn")
+                self.plan.written.append(writes)
+            shared["_run_writes"] = writes
+        return shared["_run_writes"]
 
     @cached_property
     def upsert_all(self) -> DataFrame:

@@ -31,15 +31,34 @@ def _prepare(spark: SparkSession, sf_dir: str) -> Fixtures:
     return Fixtures(spark, sf_dir)
 
 
+# Lineage jobs already run in this application, per input folder: later
+# queries reuse their written core tables (relation items, survivors) the
+# way downstream jobs read the tables an extraction job wrote.
+_PLANS: dict[tuple[str, str, str], object] = {}
+
+
+def _reuse(spark: SparkSession, sf_dir: str, kind: str, build):
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    plan = _PLANS.get(key)
+    core = plan.plan if isinstance(plan, TwoRunCatalog) else plan
+    if plan is None or not core.still_written():
+        plan = build()
+        _PLANS[key] = plan
+    return plan
+
+
 def lineage(spark: SparkSession, sf_dir: str) -> LineagePlan:
     fx = _prepare(spark, sf_dir)
-    return LineagePlan(fx.executions, fx.plan_nodes, fx.plan_columns)
+    return _reuse(spark, sf_dir, "lineage", lambda: LineagePlan(fx.executions, fx.plan_nodes, fx.plan_columns))
 
 
 def two_runs(spark: SparkSession, sf_dir: str, page_size: int = C.DEFAULT_PAGE) -> TwoRunCatalog:
     fx = _prepare(spark, sf_dir)
-    return TwoRunCatalog(fx.executions, fx.plan_nodes, fx.plan_columns, fx["runs"], fx["relationships"],
-                         page_size=page_size)
+    base = _reuse(spark, sf_dir, "two_runs", lambda: TwoRunCatalog(
+        fx.executions, fx.plan_nodes, fx.plan_columns, fx["runs"], fx["relationships"]))
+    if page_size == base.page_size:
+        return base
+    return base.with_page_size(page_size)
 
 
 # -- gates -------------------------------------------------------------------
