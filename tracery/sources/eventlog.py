@@ -12,10 +12,9 @@ needs:
 * S6 ``EnvironmentUpdate`` -> ``(key, value)`` session settings;
 * S5 ``sparkPlanInfo`` -> ``plan_nodes`` rows, flattened level by level.
 
-The plan tree is nested JSON of unbounded depth. Each level is parsed with a
-schema that keeps ``children`` as JSON text, so one ``from_json`` per level
-suffices; preorder ids come from ordering the child-position paths, which
-Spark compares element by element. Nodes carrying lineage metadata
+The plan tree is nested JSON of unbounded depth: each plan is walked once by
+a small Arrow-batched helper that emits one row per node with its preorder
+id and nearest kept ancestor; the mapping to lineage columns is Spark. Nodes carrying lineage metadata
 (``nodeClass`` etc., as a plan-capturing listener writes them) are taken as
 is; plain physical plans are mapped by node name (best effort, see
 ``PHYSICAL_NAMES``).
@@ -24,9 +23,8 @@ is; plain physical plans are mapped by node name (best effort, see
 from __future__ import annotations
 
 import re
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -190,82 +188,75 @@ def _location_path(meta: Column) -> Column:
     return F.when(loc != "", loc)
 
 
-def plan_nodes(starts: DataFrame, max_levels: int | None = None) -> DataFrame:
+FLAT_SCHEMA = ("app_key string, execution_id long, node_id int, parent_id int, in_cache boolean, "
+               "node_name string, simple string, meta_json string")
+_WRAPPER_PREFIXES = tuple(WRAPPERS)
+
+
+def _flatten_plans(batches):
+    """Walk each plan's JSON once in preorder, one row per kept node.
+
+    Physical wrappers (whole-stage codegen, adaptive plan, ...) are skipped
+    and their children attached to the nearest kept ancestor; ids are the
+    ``nodeId`` metadata when present, else preorder positions. Per-row
+    helper for ``mapInPandas`` (Arrow batches, no shuffle).
+    """
+    import json
+
+    import pandas as pd
+
+    cols = ("app_key", "execution_id", "node_id", "parent_id", "in_cache", "node_name", "simple", "meta_json")
+    for pdf in batches:
+        out = {c: [] for c in cols}
+        for app, ex, text in zip(pdf["app_key"], pdf["execution_id"], pdf["plan_json"]):
+            if text is None:
+                continue
+            seq = 0
+            stack = [(json.loads(text), None, False)]
+            while stack:
+                node, parent, in_cache = stack.pop()
+                name = node.get("nodeName") or ""
+                meta = node.get("metadata") or {}
+                kept = "nodeClass" in meta or not name.startswith(_WRAPPER_PREFIXES)
+                me = parent
+                if kept:
+                    me = int(meta["nodeId"]) if "nodeId" in meta else seq
+                    seq += 1
+                    for c, v in zip(cols, (app, ex, me, parent, in_cache, name, node.get("simpleString"),
+                                           json.dumps(meta))):
+                        out[c].append(v)
+                below = in_cache or name.startswith("InMemoryTableScan")
+                for child in reversed(node.get("children") or []):
+                    stack.append((child, me, below))
+        yield pd.DataFrame(out, columns=list(cols)).astype({"node_id": "Int32", "parent_id": "Int32"})
+
+
+def plan_nodes(starts: DataFrame) -> DataFrame:
     """Flatten ``sparkPlanInfo`` to one row per node.
 
-    Each round parses one level of the tree (children stay JSON text), so
-    the work per round is a projection plus ``posexplode``; the loop ends at
-    the first empty level. ``node_id`` is the node's ``nodeId`` metadata when
-    present, else its preorder position within the execution.
+    Trees have no depth bound, so each plan is walked once by a small
+    Arrow-batched helper (one pass over the text, no shuffle); mapping
+    metadata and physical names to the lineage columns is Spark.
     """
-    level = starts.select(
-        "app_key", "execution_id",
-        F.array().cast("array<int>").alias("pos"),
-        F.from_json("plan_json", PLAN_SCHEMA).alias("n"),
-    ).filter(F.col("n").isNotNull())
-    levels: list[DataFrame] = []
-    depth = 0
-    while True:
-        levels.append(level.select("app_key", "execution_id", "pos",
-                                   F.col("n.nodeName").alias("node_name"),
-                                   F.col("n.simpleString").alias("simple"),
-                                   F.col("n.metadata").alias("meta")))
-        kids = level.select("app_key", "execution_id", "pos",
-                            F.posexplode_outer("n.children").alias("i", "child")).filter(F.col("child").isNotNull())
-        nxt = kids.select("app_key", "execution_id",
-                          F.concat("pos", F.array(F.col("i").cast("int"))).alias("pos"),
-                          F.from_json("child", PLAN_SCHEMA).alias("n"))
-        depth += 1
-        if (max_levels is not None and depth >= max_levels) or nxt.isEmpty():
-            break
-        level = nxt
-    nodes = reduce(DataFrame.unionByName, levels)
-    return _node_rows(nodes)
+    flat = starts.select("app_key", "execution_id", "plan_json").mapInPandas(_flatten_plans, FLAT_SCHEMA)
+    meta = F.from_json("meta_json", T.MapType(T.StringType(), T.StringType()))
+    return _node_rows(flat.withColumn("meta", meta))
 
 
 def _node_rows(nodes: DataFrame) -> DataFrame:
-    """Rows of ``plan_nodes`` from parsed nodes with their child paths.
-
-    Physical wrappers (whole-stage codegen, adaptive plan, ...) are dropped;
-    a node's parent is its nearest kept ancestor, found by joining the
-    node's path prefixes (one per level, so the fan-out is the tree depth).
-    Without metadata, descendants of an in-memory scan are ``cached``.
-    """
+    """Lineage columns from walked nodes: metadata first, else node names."""
     meta = F.col("meta")
-    keys = ["app_key", "execution_id"]
-    wrapper = F.col("node_name").rlike("^(" + "|".join(WRAPPERS) + ")") & meta.getItem("nodeClass").isNull()
-    marked = nodes.withColumn("kept", F.coalesce(~wrapper, F.lit(True)))
-    kept = marked.filter("kept")
-    # Ancestors of each kept node: every proper prefix of its path.
-    prefixes = kept.select(*keys, "pos", F.explode(F.sequence(F.lit(0), F.size("pos") - 1)).alias("k")) \
-        .filter(F.size("pos") > 0) \
-        .select(*keys, "pos", F.col("k"), F.slice("pos", 1, F.greatest(F.col("k"), F.lit(0))).alias("apos"))
-    prefixes = prefixes.withColumn(
-        "apos", F.when(F.col("k") == 0, F.array().cast("array<int>")).otherwise(F.col("apos")))
-    anc = marked.select(*keys, F.col("pos").alias("apos"), F.col("node_name").alias("aname"),
-                        F.col("kept").alias("akept"))
-    lineage = prefixes.join(anc, [*keys, "apos"], "inner").groupBy(*keys, "pos").agg(
-        F.max(F.when(F.col("akept"), F.struct(F.size("apos").alias("n"), F.col("apos").alias("p")))).alias("par"),
-        F.max(F.col("aname").rlike("^InMemoryTableScan").cast("int")).alias("in_cache"),
-    )
-    preorder = Window.partitionBy(*keys).orderBy("pos")
-    ided = kept.join(lineage, [*keys, "pos"], "left").withColumn(
-        "node_id", F.coalesce(meta.getItem("nodeId").cast("int"), (F.row_number().over(preorder) - 1).cast("int")))
-    ids = ided.select(*keys, F.col("pos").alias("ppos"), F.col("node_id").alias("parent_id"))
-    joined = ided.withColumn("ppos", F.col("par.p")).join(ids, [*keys, "ppos"], "left")
     cls, rel = _physical_class(F.col("node_name"))
     exec_cls = F.coalesce(*[F.when(F.col("node_name").rlike(p), F.lit(c)) for p, c in CACHED_EXEC_NAMES], cls)
-    in_cache = F.coalesce(F.col("in_cache"), F.lit(0)) == 1
-    cls = F.when(in_cache, exec_cls).otherwise(cls)
+    cls = F.when(F.col("in_cache"), exec_cls).otherwise(cls)
     edge = F.coalesce(
         meta.getItem("edgeKind"),
-        F.when(F.col("par").isNull(), F.lit("root"))
-        .when(F.coalesce(F.col("in_cache"), F.lit(0)) == 1, F.lit("cached"))
+        F.when(F.col("parent_id").isNull(), F.lit("root"))
+        .when(F.col("in_cache"), F.lit("cached"))
         .otherwise(F.lit("child")),
     )
-    return joined.select(
-        "execution_id", "node_id",
-        F.col("parent_id").cast("int").alias("parent_id"),
+    return nodes.select(
+        "execution_id", "node_id", "parent_id",
         edge.alias("edge_kind"),
         F.coalesce(meta.getItem("nodeClass"), cls).alias("node_class"),
         F.coalesce(meta.getItem("relationClass"), rel).alias("relation_class"),
@@ -382,9 +373,9 @@ def write_event_log(lines: DataFrame, root: str, files_per_app: int = 4) -> str:
     return root
 
 
-def lineage_tables(spark: SparkSession, root: str, max_levels: int | None = None) -> dict[str, DataFrame]:
+def lineage_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Executions and plan nodes read back from an event-log folder."""
     events = read_events(spark, root)
     executions = sql_executions(events)
-    nodes = plan_nodes(sql_starts(events).filter(F.col("plan_json").isNotNull()), max_levels)
+    nodes = plan_nodes(sql_starts(events).filter(F.col("plan_json").isNotNull()))
     return {"events": events, "executions": executions, "plan_nodes": nodes}
