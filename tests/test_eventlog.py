@@ -22,6 +22,10 @@ def test_lineage_from_real_event_log(spark, event_dir):
     cached.count()
     cached.filter("k = 2").write.mode("overwrite").parquet(out2)
     cached.unpersist()
+    table = "tracery_p2_src"
+    spark.read.parquet(src).write.mode("overwrite").option("path", os.path.join(work, "tbl")).saveAsTable(table)
+    out3 = os.path.join(work, "out3")
+    spark.table(table).write.mode("overwrite").parquet(out3)
 
     tables = EL.lineage_tables(spark, event_dir)
     app = spark.sparkContext.applicationId
@@ -33,9 +37,15 @@ def test_lineage_from_real_event_log(spark, event_dir):
     def file_urn(p):
         return f"urn:li:dataset:(urn:li:dataPlatform:hdfs,file:{p},PROD)"
 
+    def urn_hive(name):
+        return f"urn:li:dataset:(urn:li:dataPlatform:hive,{name},PROD)"
+
     # Direct scan: met by the query walk and the plan walk (reference keeps both).
     assert got[file_urn(out1)] == [file_urn(src), file_urn(src)]
     # Cached scan: the leaf of the in-memory relation's plan.
     assert got[file_urn(out2)] == [file_urn(src)]
+    # Catalog table scan: its catalog name and its root path, by both walks.
+    tbl = [urn_hive("default." + table), file_urn(os.path.join(work, "tbl"))]
+    assert got[file_urn(out3)] == tbl + tbl
     settings = EL.session_settings(tables["events"])
     assert settings.filter(F.col("key") == "spark.master").count() >= 1

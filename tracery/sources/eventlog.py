@@ -260,15 +260,28 @@ def _node_rows(nodes: DataFrame) -> DataFrame:
         edge.alias("edge_kind"),
         F.coalesce(meta.getItem("nodeClass"), cls).alias("node_class"),
         F.coalesce(meta.getItem("relationClass"), rel).alias("relation_class"),
-        meta.getItem("catalogDb").alias("catalog_db"),
-        meta.getItem("catalogTable").alias("catalog_table"),
+        F.coalesce(meta.getItem("catalogDb"), _catalog_part(1)).alias("catalog_db"),
+        F.coalesce(meta.getItem("catalogTable"), _catalog_part(2)).alias("catalog_table"),
         F.coalesce(meta.getItem("path"), _location_path(meta), _sink_path(F.col("simple"))).alias("path"),
         meta.getItem("jdbcUrl").alias("jdbc_url"),
-        meta.getItem("jdbcTable").alias("jdbc_table"),
+        F.coalesce(meta.getItem("jdbcTable"), _nonempty(F.regexp_extract(
+            F.col("node_name"), r"^Scan JDBCRelation\((.+?)\)", 1))).alias("jdbc_table"),
         "app_key", "node_name",
     )
 
 
+def _nonempty(c: Column) -> Column:
+    return F.when(c != "", c)
+
+
+def _catalog_part(group: int) -> Column:
+    """Catalog identifier of a scan (``Scan parquet spark_catalog.db.t``) or
+    of a sink (`` `spark_catalog`.`db`.`t` `` in its plan string)."""
+    scan = F.regexp_extract(F.col("node_name"), r"^Scan \w+ (?:spark_catalog\.)?([^.\s]+)\.([^.\s]+)$", group)
+    sink = F.regexp_extract(F.col("simple"), r"^Execute \w+ .*`spark_catalog`\.`([^`]+)`\.`([^`]+)`", group)
+    return F.coalesce(_nonempty(scan), _nonempty(sink))
+
+
 def _sink_path(simple: Column) -> Column:
     """Output path of a file insert: first argument in its plan string."""
     p = F.regexp_extract(simple, r"^Execute InsertIntoHadoopFsRelationCommand ([^,]+),", 1)
