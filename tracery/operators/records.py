@@ -53,11 +53,11 @@ def job_io(alive: DataFrame, inputs: DataFrame, outputs: DataFrame) -> DataFrame
     outs = ordered_urns(outputs.filter(F.col("urn").isNotNull()), "outputs")
     flow = R.flow_urn("app_name", "master")
     return (
-        alive.select(KEY, "app_name", "master", "job_number")
+        alive.select(KEY, "app_name", "master", "job_number", F.col("started_at").alias("event_time"))
         .join(ins, KEY, "left")
         .join(outs, KEY, "left")
         .select(
-            KEY,
+            KEY, "event_time",
             R.job_urn(flow, "job_number").alias("job_urn"),
             flow.alias("flow_urn"),
             F.coalesce("inputs", empty).alias("input_list"),
@@ -69,7 +69,7 @@ def job_io(alive: DataFrame, inputs: DataFrame, outputs: DataFrame) -> DataFrame
             F.concat_ws("|", "output_list").alias("output_urns"),
             F.size("input_list").alias("n_inputs"),
             F.size("output_list").alias("n_outputs"),
-            "input_list", "output_list",
+            "input_list", "output_list", "event_time",
         )
     )
 
@@ -84,6 +84,7 @@ def job_info(alive: DataFrame) -> DataFrame:
         R.start_time_text("started_at").alias("started_at"),
         F.col("job_number").cast("string").alias("app_id"),
         "app_name",
+        F.col("started_at").alias("event_time"),
     )
 
 
@@ -117,7 +118,10 @@ def file_datasets(items: DataFrame, outputs: DataFrame, alive: DataFrame) -> Dat
     outs = outputs.filter(F.col("file_record") & F.col("name").isNotNull()).select(
         *cols, F.lit(True).alias("is_output"))
     ins = items.filter("file_record").select(*cols, F.lit(False).alias("is_output"))
-    records = surviving(outs.unionByName(ins), alive)
+    # A union loses its inputs' partitioning: shuffle the (small) record set
+    # once by execution, which also serves the per-dataset grouping and the
+    # joins on execution that follow.
+    records = surviving(outs.unionByName(ins), alive).repartition(KEY)
     return records.groupBy(KEY, "dataset").agg(
         F.max("env").alias("env"),
         F.max_by(F.struct("col_node", "is_output"), _seq()).alias("winner"),
@@ -176,29 +180,32 @@ def aspects(alive: DataFrame, metadata: DataFrame, io: DataFrame, info: DataFram
     """Every record a surviving execution emits, in emit order.
 
     ``aspect`` is the JSON payload; ``emit_seq`` orders records of one
-    execution (file datasets first, then flow, job info, job IO).
+    execution (file datasets first, then flow, job info, job IO). Each branch
+    takes the event time from an input partitioned by execution, so the
+    union needs no exchange of its own.
     """
     when = alive.select(KEY, "started_at", "app_name", "master")
-    props = metadata.select(
-        KEY, F.lit(EMIT_DATASET_PROPERTIES).alias("emit_seq"), "urn",
+    meta = metadata.join(when.select(KEY, "started_at"), KEY, "inner")
+    props = meta.select(
+        KEY, "started_at", F.lit(EMIT_DATASET_PROPERTIES).alias("emit_seq"), "urn",
         F.lit("datasetProperties").alias("aspect_name"),
         F.to_json(F.struct(F.col("dataset").alias("name"))).alias("aspect"),
     )
-    schema = metadata.select(
-        KEY, F.lit(EMIT_SCHEMA_METADATA).alias("emit_seq"), "urn",
+    schema = meta.select(
+        KEY, "started_at", F.lit(EMIT_SCHEMA_METADATA).alias("emit_seq"), "urn",
         F.lit("schemaMetadata").alias("aspect_name"),
         F.to_json(F.struct(
             F.col("schema_name").alias("schemaName"), "platform", "version", "hash", "fields",
         )).alias("aspect"),
     )
     flow = when.join(firsts.select(KEY), KEY, "left_semi").select(
-        KEY, F.lit(EMIT_FLOW_INFO).alias("emit_seq"), R.flow_urn("app_name", "master").alias("urn"),
+        KEY, "started_at", F.lit(EMIT_FLOW_INFO).alias("emit_seq"), R.flow_urn("app_name", "master").alias("urn"),
         F.lit("dataFlowInfo").alias("aspect_name"),
         F.to_json(F.struct(F.col("app_name").alias("name"))).alias("aspect"),
     )
     jinfo = info.select(
-        KEY, F.lit(EMIT_JOB_INFO).alias("emit_seq"), F.col("job_urn").alias("urn"),
-        F.lit("dataJobInfo").alias("aspect_name"),
+        KEY, F.col("event_time").alias("started_at"), F.lit(EMIT_JOB_INFO).alias("emit_seq"),
+        F.col("job_urn").alias("urn"), F.lit("dataJobInfo").alias("aspect_name"),
         F.to_json(F.struct(
             "name", "type",
             F.struct(F.col("started_at").alias("startedAt"), F.col("app_id").alias("appId"),
@@ -206,13 +213,13 @@ def aspects(alive: DataFrame, metadata: DataFrame, io: DataFrame, info: DataFram
         )).alias("aspect"),
     )
     jio = io.select(
-        KEY, F.lit(EMIT_JOB_IO).alias("emit_seq"), F.col("job_urn").alias("urn"),
-        F.lit("dataJobInputOutput").alias("aspect_name"),
+        KEY, F.col("event_time").alias("started_at"), F.lit(EMIT_JOB_IO).alias("emit_seq"),
+        F.col("job_urn").alias("urn"), F.lit("dataJobInputOutput").alias("aspect_name"),
         F.to_json(F.struct(F.col("input_list").alias("inputDatasets"),
                            F.col("output_list").alias("outputDatasets"))).alias("aspect"),
     )
     every = reduce(DataFrame.unionByName, [props, schema, flow, jinfo, jio])
-    return every.join(when.select(KEY, "started_at"), KEY, "inner").select(
+    return every.select(
         KEY, "started_at", "emit_seq", R.entity_type("urn").alias("entity_type"), "urn", "aspect_name", "aspect"
     )
 

@@ -106,7 +106,8 @@ def job_io(spark, sf_dir):
 
 
 def job_info(spark, sf_dir):
-    return lineage(spark, sf_dir).job_info
+    return lineage(spark, sf_dir).job_info.select(
+        KEY, "job_urn", "name", "type", "started_at", "app_id", "app_name")
 
 
 def input_column_types(spark, sf_dir):
