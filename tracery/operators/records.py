@@ -22,9 +22,6 @@ EMIT_FLOW_INFO = 3
 EMIT_JOB_INFO = 4
 EMIT_JOB_IO = 5
 
-ASPECT_COLS = (KEY, "started_at", "emit_seq", "entity_type", "urn", "aspect_name", "aspect")
-
-
 def _seq() -> F.Column:
     return F.struct(*[F.col(c) for c in SEQ])
 

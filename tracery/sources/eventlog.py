@@ -45,13 +45,6 @@ KEY_OUTPUT_NAME = "spark.hdfs.ingestion.output.path"
 WRAPPERS = ("AdaptiveSparkPlan", "WholeStageCodegen", "InputAdapter", "ColumnarToRow", "WriteFiles",
             "RowToColumnar", "AQEShuffleRead", "ResultQueryStage", "ShuffleQueryStage")
 
-PLAN_SCHEMA = T.StructType([
-    T.StructField("nodeName", T.StringType()),
-    T.StructField("simpleString", T.StringType()),
-    T.StructField("children", T.ArrayType(T.StringType())),
-    T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
-])
-
 START_SCHEMA = T.StructType([
     T.StructField("executionId", T.LongType()),
     T.StructField("rootExecutionId", T.LongType()),

@@ -12,8 +12,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ("orders", "lineitem")
-
 # The fixture projections (same text for Spark and DuckDB).
 FIXTURE_SQL: dict[str, str] = {
     "executions": """
