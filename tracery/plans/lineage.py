@@ -24,8 +24,12 @@ from tracery.session import write_table
 class LineagePlan:
     def __init__(self, executions: DataFrame, plan_nodes: DataFrame, plan_columns: DataFrame,
                  listener: tuple[str, ...] = ("app_name",), dev_markers: tuple[str, ...] = R.DEV_MARKERS,
-                 checkpoint: bool = True, seen_listeners: DataFrame | None = None):
+                 checkpoint: bool = True, seen_listeners: DataFrame | None = None,
+                 core: "LineagePlan | None" = None):
         self.executions = executions
+        # Another plan over the same executions and plans whose relation items
+        # and failures can be reused (they do not depend on the job number).
+        self.shared_core = core
         # Listeners that already emitted (streaming state): no first event again.
         self.seen_listeners = seen_listeners
         self.plan_nodes = plan_nodes
@@ -54,6 +58,8 @@ class LineagePlan:
 
     @cached_property
     def items(self) -> DataFrame:
+        if self.shared_core is not None:
+            return self.shared_core.items
         items = X.relation_items(self.direct_visits.unionByName(self.cached_leaves))
         return self._cut(items, "items")
 
@@ -73,7 +79,10 @@ class LineagePlan:
         return self.__dict__["_written"]
 
     def still_written(self) -> bool:
-        """True while every table this plan wrote can still be read."""
+        """True while every table this plan (and a shared core) wrote can
+        still be read."""
+        if self.shared_core is not None and not self.shared_core.still_written():
+            return False
         try:
             for frame in self.written:
                 frame.limit(0).collect()
@@ -93,6 +102,8 @@ class LineagePlan:
     # -- failure rule ----------------------------------------------------------
     @cached_property
     def failed(self) -> DataFrame:
+        if self.shared_core is not None:
+            return self.shared_core.failed
         sink = self.outputs.filter(F.col("fail_reason").isNotNull()).unionByName(
             X.sink_column_failures(self.outputs, self.plan_columns), allowMissingColumns=True)
         items = self.items.filter(F.col("fail_reason").isNotNull())
@@ -168,13 +179,13 @@ class TwoRunCatalog:
 
     def __init__(self, executions: DataFrame, plan_nodes: DataFrame, plan_columns: DataFrame,
                  runs: DataFrame, relationships: DataFrame, page_size: int = C.DEFAULT_PAGE,
-                 checkpoint: bool = True):
+                 checkpoint: bool = True, core: LineagePlan | None = None):
         run_cols = runs.select(G.KEY, "run_no", F.col("run_execution_id").alias("job_number"))
         self.runs = run_cols
         self.relationships = relationships
         self.page_size = page_size
         self.plan = LineagePlan(executions.join(run_cols, G.KEY, "inner"), plan_nodes, plan_columns,
-                                listener=("app_name", "run_no"), checkpoint=checkpoint)
+                                listener=("app_name", "run_no"), checkpoint=checkpoint, core=core)
 
     def with_page_size(self, page_size: int) -> "TwoRunCatalog":
         """Same runs and lineage core, another reset page size."""

@@ -55,7 +55,8 @@ def lineage(spark: SparkSession, sf_dir: str) -> LineagePlan:
 def two_runs(spark: SparkSession, sf_dir: str, page_size: int = C.DEFAULT_PAGE) -> TwoRunCatalog:
     fx = _prepare(spark, sf_dir)
     base = _reuse(spark, sf_dir, "two_runs", lambda: TwoRunCatalog(
-        fx.executions, fx.plan_nodes, fx.plan_columns, fx["runs"], fx["relationships"]))
+        fx.executions, fx.plan_nodes, fx.plan_columns, fx["runs"], fx["relationships"],
+        core=lineage(spark, sf_dir)))
     if page_size == base.page_size:
         return base
     return base.with_page_size(page_size)
