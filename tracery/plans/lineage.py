@@ -27,8 +27,9 @@ class LineagePlan:
                  checkpoint: bool = True, seen_listeners: DataFrame | None = None,
                  core: "LineagePlan | None" = None):
         self.executions = executions
-        # Another plan over the same executions and plans whose relation items
-        # and failures can be reused (they do not depend on the job number).
+        # Another plan over the same executions and plans: relation items,
+        # failures, input/output lists and file-dataset schemas do not depend
+        # on the job number or the listener, so they are reused from it.
         self.shared_core = core
         # Listeners that already emitted (streaming state): no first event again.
         self.seen_listeners = seen_listeners
@@ -116,10 +117,14 @@ class LineagePlan:
     # -- lineage ---------------------------------------------------------------
     @cached_property
     def inputs(self) -> DataFrame:
+        if self.shared_core is not None:
+            return self.shared_core.inputs
         return Rec.surviving(self.items.filter(F.col("urn").isNotNull()), self.alive)
 
     @cached_property
     def alive_outputs(self) -> DataFrame:
+        if self.shared_core is not None:
+            return self.shared_core.alive_outputs
         return Rec.surviving(self.outputs.filter(F.col("urn").isNotNull()), self.alive)
 
     @cached_property
@@ -149,6 +154,8 @@ class LineagePlan:
 
     @cached_property
     def schema_metadata(self) -> DataFrame:
+        if self.shared_core is not None:
+            return self.shared_core.schema_metadata
         return Rec.schema_metadata(self.file_datasets, self.schema_fields)
 
     # -- emission --------------------------------------------------------------
