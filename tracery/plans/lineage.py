@@ -156,7 +156,8 @@ class LineagePlan:
     def schema_metadata(self) -> DataFrame:
         if self.shared_core is not None:
             return self.shared_core.schema_metadata
-        return Rec.schema_metadata(self.file_datasets, self.schema_fields)
+        # Used by the dataset records of every run: written once.
+        return self._cut(Rec.schema_metadata(self.file_datasets, self.schema_fields), "schema_metadata")
 
     # -- emission --------------------------------------------------------------
     @cached_property
