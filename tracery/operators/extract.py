@@ -65,7 +65,7 @@ def direct_visits(tracked: DataFrame, plan_nodes: DataFrame) -> DataFrame:
 
 
 def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = True,
-                  unroll: int = 2) -> DataFrame:
+                  unroll: int = 2, buckets: int | None = None) -> DataFrame:
     """I9 + I10: leaves of the cached plans of visited in-memory relations.
 
     An ``InMemoryTableScanExec`` leaf stands for another cached relation; its
@@ -90,7 +90,7 @@ def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = T
         # rescanning plan_nodes per level.
         from tracery.session import write_table
 
-        cached = write_table(cached, "cached_edges", bucket_by=KEY)
+        cached = write_table(cached, "cached_edges", bucket_by=KEY, buckets=buckets)
 
     def deeper(front: DataFrame) -> DataFrame:
         return front.join(cached, [KEY, "parent_id"], "inner").select(

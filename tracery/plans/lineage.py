@@ -25,8 +25,11 @@ class LineagePlan:
     def __init__(self, executions: DataFrame, plan_nodes: DataFrame, plan_columns: DataFrame,
                  listener: tuple[str, ...] = ("app_name",), dev_markers: tuple[str, ...] = R.DEV_MARKERS,
                  checkpoint: bool = True, seen_listeners: DataFrame | None = None,
-                 core: "LineagePlan | None" = None):
+                 core: "LineagePlan | None" = None, buckets: int | None = None):
         self.executions = executions
+        # Bucket count of the execution-keyed inputs, so written steps stay
+        # co-located with them (None: the session's shuffle partitions).
+        self.buckets = buckets
         # Another plan over the same executions and plans: relation items,
         # failures, input/output lists and file-dataset schemas do not depend
         # on the job number or the listener, so they are reused from it.
@@ -55,7 +58,7 @@ class LineagePlan:
 
     @cached_property
     def cached_leaves(self) -> DataFrame:
-        return X.cached_leaves(self.direct_visits, self.plan_nodes, self.checkpoint)
+        return X.cached_leaves(self.direct_visits, self.plan_nodes, self.checkpoint, buckets=self.buckets)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -69,7 +72,7 @@ class LineagePlan:
         shared checkpoint folder, bucketed by execution, then read back."""
         if not self.checkpoint:
             return frame
-        table = write_table(frame, name, bucket_by=G.KEY)
+        table = write_table(frame, name, bucket_by=G.KEY, buckets=self.buckets)
         self.written.append(table)
         return table
 
@@ -187,13 +190,14 @@ class TwoRunCatalog:
 
     def __init__(self, executions: DataFrame, plan_nodes: DataFrame, plan_columns: DataFrame,
                  runs: DataFrame, relationships: DataFrame, page_size: int = C.DEFAULT_PAGE,
-                 checkpoint: bool = True, core: LineagePlan | None = None):
+                 checkpoint: bool = True, core: LineagePlan | None = None, buckets: int | None = None):
         run_cols = runs.select(G.KEY, "run_no", F.col("run_execution_id").alias("job_number"))
         self.runs = run_cols
         self.relationships = relationships
         self.page_size = page_size
         self.plan = LineagePlan(executions.join(run_cols, G.KEY, "inner"), plan_nodes, plan_columns,
-                                listener=("app_name", "run_no"), checkpoint=checkpoint, core=core)
+                                listener=("app_name", "run_no"), checkpoint=checkpoint, core=core,
+                                buckets=buckets)
 
     def with_page_size(self, page_size: int) -> "TwoRunCatalog":
         """Same runs and lineage core, another reset page size."""
@@ -211,7 +215,7 @@ class TwoRunCatalog:
         if "_run_writes" not in shared:
             writes = self.plan.aspects.join(self.runs.select(G.KEY, "run_no"), G.KEY, "inner")
             if self.plan.checkpoint:
-                writes = write_table(writes, "run_writes", bucket_by="urn")
+                writes = write_table(writes, "run_writes", bucket_by="urn", buckets=self.plan.buckets)
                 self.plan.written.append(writes)
             shared["_run_writes"] = writes
         return shared["_run_writes"]

@@ -49,14 +49,15 @@ def _reuse(spark: SparkSession, sf_dir: str, kind: str, build):
 
 def lineage(spark: SparkSession, sf_dir: str) -> LineagePlan:
     fx = _prepare(spark, sf_dir)
-    return _reuse(spark, sf_dir, "lineage", lambda: LineagePlan(fx.executions, fx.plan_nodes, fx.plan_columns))
+    return _reuse(spark, sf_dir, "lineage", lambda: LineagePlan(fx.executions, fx.plan_nodes, fx.plan_columns,
+                                                                buckets=fx.buckets))
 
 
 def two_runs(spark: SparkSession, sf_dir: str, page_size: int = C.DEFAULT_PAGE) -> TwoRunCatalog:
     fx = _prepare(spark, sf_dir)
     base = _reuse(spark, sf_dir, "two_runs", lambda: TwoRunCatalog(
         fx.executions, fx.plan_nodes, fx.plan_columns, fx["runs"], fx["relationships"],
-        core=lineage(spark, sf_dir)))
+        core=lineage(spark, sf_dir), buckets=fx.buckets))
     if page_size == base.page_size:
         return base
     return base.with_page_size(page_size)
@@ -288,7 +289,8 @@ def event_job_io(spark, sf_dir):
     from tracery.sources.eventlog import NODE_COLS
 
     fx, t = _event_log(spark, sf_dir)
-    plan = LineagePlan(t["executions"].select(*EXEC_COLS), t["plan_nodes"].select(*NODE_COLS), fx.plan_columns)
+    plan = LineagePlan(t["executions"].select(*EXEC_COLS), t["plan_nodes"].select(*NODE_COLS), fx.plan_columns,
+                       buckets=fx.buckets)
     return plan.job_io.select(KEY, "job_urn", "flow_urn", "input_urns", "output_urns", "n_inputs", "n_outputs")
 
 

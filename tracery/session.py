@@ -85,7 +85,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _TABLE_SEQ = [0]
 
 
-def write_table(frame, name: str, bucket_by: str | None = None):
+# Target input bytes per bucket when sizing the bucket count of a data set.
+BYTES_PER_BUCKET = 128 * 1024 * 1024
+
+
+def bucket_count(spark: SparkSession, input_bytes: int) -> int:
+    """Buckets for one data set's lineage tables: enough for the cluster's
+    parallelism and about ``BYTES_PER_BUCKET`` of input each, never more
+    than the session's shuffle partitions (which a cluster sizes for its
+    data)."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = max(spark.sparkContext.defaultParallelism, -(-input_bytes // BYTES_PER_BUCKET))
+    return max(1, min(cap, want))
+
+
+def write_table(frame, name: str, bucket_by: str | None = None, buckets: int | None = None):
     """Cut lineage by writing ``frame`` under the shared checkpoint folder.
 
     Unlike a reliable RDD checkpoint this computes the frame once. With
@@ -97,6 +111,6 @@ def write_table(frame, name: str, bucket_by: str | None = None):
     table = f"tracery_{name}_{os.getpid()}_{_TABLE_SEQ[0]}"
     writer = frame.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, name))
     if bucket_by:
-        writer = writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), bucket_by)
+        writer = writer.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), bucket_by)
     writer.saveAsTable(table)
     return spark.table(table)

@@ -207,6 +207,20 @@ class Fixtures:
             self._frames[name] = self.spark.sql(FIXTURE_SQL[name], **refs)
         return self._frames[name]
 
+    @property
+    def buckets(self) -> int:
+        """Bucket count shared by every execution-keyed table of this data
+        set, sized from the base tables' bytes (Catalyst's file-size stats)."""
+        from tracery.session import bucket_count
+
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "buckets")
+        if key not in _WRITTEN:
+            size = 0
+            for base in ("orders", "lineitem"):
+                size += int(str(self.base(base)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            _WRITTEN[key] = bucket_count(self.spark, size)
+        return _WRITTEN[key]
+
     def derived(self, name: str) -> DataFrame:
         """The fixture as a plan over the base tables (never materialized)."""
         return Fixtures(self.spark, self.sf_dir, materialize=False)[name]
@@ -222,8 +236,7 @@ class Fixtures:
             frame = self.derived(name) if name != "runs" else self._runs_from_written()
             writer = frame.write.mode("overwrite").format("parquet").option("path", scratch_path(self.spark, name))
             if name in BUCKETED:
-                buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                writer = writer.bucketBy(buckets, "execution_id")
+                writer = writer.bucketBy(self.buckets, "execution_id")
             writer.saveAsTable(table)
             _WRITTEN[key] = table
         return self.spark.table(table)
