@@ -371,11 +371,16 @@ def encode_event_log(executions: DataFrame, plan_nodes: DataFrame) -> DataFrame:
     return start.unionByName(env).unionByName(sql).unionByName(end)
 
 
-def write_event_log(lines: DataFrame, root: str, files_per_app: int = 4) -> str:
-    """One folder per application with a few files each, like rolling event
-    logs; lines of one application are spread over ``files_per_app`` tasks."""
-    salt = F.pmod(F.xxhash64("value"), F.lit(files_per_app))
-    lines.repartition("app_dir", salt).write.mode("overwrite").partitionBy("app_dir").text(root)
+def write_event_log(lines: DataFrame, root: str) -> str:
+    """One folder per application, like rolling event logs.
+
+    Lines are range-partitioned on (application, line hash): a large
+    application is cut across as many tasks (and files) as its size needs,
+    small ones share a task, so no task holds a hot application whole.
+    """
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (lines.repartitionByRange(parts, "app_dir", F.xxhash64("value"))
+     .write.mode("overwrite").partitionBy("app_dir").text(root))
     return root
 
 
