@@ -41,6 +41,9 @@ KEY_DEFAULT_FS = "fs.defaultFS"
 KEY_INPUT_NAME = "spark.hdfs.ingestion.input.path"
 KEY_OUTPUT_NAME = "spark.hdfs.ingestion.output.path"
 
+# Largest per-application table that is broadcast to the start events.
+BROADCAST_APPS = 1_000_000
+
 # Physical wrappers that stand for their single child.
 WRAPPERS = ("AdaptiveSparkPlan", "WholeStageCodegen", "InputAdapter", "ColumnarToRow", "WriteFiles",
             "RowToColumnar", "AQEShuffleRead", "ResultQueryStage", "ShuffleQueryStage")
@@ -128,9 +131,13 @@ def sql_executions(events: DataFrame) -> DataFrame:
             (KEY_MASTER, "master"), (KEY_DEFAULT_FS, "default_fs"),
             (KEY_INPUT_NAME, "input_override"), (KEY_OUTPUT_NAME, "output_override"))]
     )
-    apps = app_starts(events).select("app_key", "app_id", "app_name")
+    # One row per application. An application may hold a third of all start
+    # events, so the per-application side is broadcast once its row count
+    # is checked; above the limit a shuffle join (AQE skew split) is used.
+    per_app = app_starts(events).select("app_key", "app_id", "app_name").join(settings, "app_key", "full")
+    side = F.broadcast(per_app) if per_app.count() <= BROADCAST_APPS else per_app
     return (
-        sql_starts(events).join(apps, "app_key", "left").join(settings, "app_key", "left")
+        sql_starts(events).join(side, "app_key", "left")
         .select("execution_id", "app_name", "master", "description", "started_at", "default_fs",
                 F.coalesce("input_override", F.lit("")).alias("input_override"),
                 F.coalesce("output_override", F.lit("")).alias("output_override"),
