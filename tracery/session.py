@@ -85,17 +85,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _TABLE_SEQ = [0]
 
 
-# Target input bytes per bucket when sizing the bucket count of a data set.
-BYTES_PER_BUCKET = 128 * 1024 * 1024
+# Target input rows per bucket when sizing the bucket count of a data set.
+ROWS_PER_BUCKET = 4_000_000
 
 
-def bucket_count(spark: SparkSession, input_bytes: int) -> int:
+def bucket_count(spark: SparkSession, input_rows: int) -> int:
     """Buckets for one data set's lineage tables: enough for the cluster's
-    parallelism and about ``BYTES_PER_BUCKET`` of input each, never more
+    parallelism and about ``ROWS_PER_BUCKET`` input rows each, never more
     than the session's shuffle partitions (which a cluster sizes for its
     data)."""
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    want = max(spark.sparkContext.defaultParallelism, -(-input_bytes // BYTES_PER_BUCKET))
+    want = max(spark.sparkContext.defaultParallelism, -(-input_rows // ROWS_PER_BUCKET))
     return max(1, min(cap, want))
 
 
