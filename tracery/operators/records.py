@@ -71,6 +71,17 @@ def job_io(alive: DataFrame, inputs: DataFrame, outputs: DataFrame) -> DataFrame
     )
 
 
+def renumber_job_io(io: DataFrame, alive: DataFrame) -> DataFrame:
+    """``job_io`` of the same executions under other job numbers."""
+    flow = R.flow_urn("app_name", "master")
+    lists = io.select(KEY, "input_urns", "output_urns", "n_inputs", "n_outputs", "input_list", "output_list")
+    return alive.select(KEY, "app_name", "master", "job_number", F.col("started_at").alias("event_time")) \
+        .join(lists, KEY, "inner").select(
+            KEY, R.job_urn(flow, "job_number").alias("job_urn"), flow.alias("flow_urn"),
+            "input_urns", "output_urns", "n_inputs", "n_outputs", "input_list", "output_list", "event_time",
+        )
+
+
 def job_info(alive: DataFrame) -> DataFrame:
     """Job name, type and custom properties (``appId`` holds the execution number)."""
     return alive.select(

@@ -132,6 +132,9 @@ class LineagePlan:
 
     @cached_property
     def job_io(self) -> DataFrame:
+        if self.shared_core is not None:
+            # Same ordered lists; only the job number (URN) differs.
+            return Rec.renumber_job_io(self.shared_core.job_io, self.alive)
         return Rec.job_io(self.alive, self.inputs, self.alive_outputs)
 
     @cached_property
