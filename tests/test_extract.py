@@ -30,7 +30,7 @@ def urn(platform, name):
 
 @pytest.fixture(scope="module")
 def plan(spark):
-    executions = [ex(i) for i in (1, 2, 4, 5, 6, 7, 8, 9, 10)] + [ex(3, fs=None)]
+    executions = [ex(i) for i in (1, 2, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 15)] + [ex(3, fs=None), ex(14, fs=None)]
     nodes = [
         # 1: file sink; file relation seen by both walks, Hive relation, cached file scan, a join
         n(1, 0, None, "root", "InsertIntoHadoopFsRelationCommand", path="hdfs://p/out/a"),
@@ -67,6 +67,21 @@ def plan(spark):
         n(10, 101, 1, "cached", "InMemoryTableScanExec"),
         n(10, 201, 101, "cached", "FileSourceScanExec", "HadoopFsRelation", path="hdfs://p/nested"),
         n(10, 102, 1, "cached", "LocalTableScanExec"),
+        # 11: JDBC save without url
+        n(11, 0, None, "root", "SaveIntoDataSourceCommand", jt="a.b"),
+        # 12: JDBC read whose url has no platform part
+        n(12, 0, None, "root", "InsertIntoHiveTable", db="d", tbl="o"),
+        n(12, 1, 0, "child", "LogicalRelation", "JDBCRelation", url="nocolon", jt="s.t"),
+        # 13: Hive path (substring test) with fewer than two segments
+        n(13, 0, None, "root", "InsertIntoHiveTable", db="d", tbl="o"),
+        n(13, 1, 0, "child", "LogicalRelation", "HadoopFsRelation", path="hive"),
+        # 14: no default filesystem comes first, before a node failure
+        n(14, 0, None, "root", "InsertIntoHiveTable", db="d", tbl="o"),
+        n(14, 1, 0, "child", "LogicalRelation", "JDBCRelation", url="jdbc:mysql://h/db"),
+        # 15: two failing nodes: the query walk meets node 1 first
+        n(15, 0, None, "root", "InsertIntoHiveTable", db="d", tbl="o"),
+        n(15, 1, 0, "child", "LogicalRelation", "HadoopFsRelation", path="hive"),
+        n(15, 2, 0, "child", "LogicalRelation", "JDBCRelation", url="jdbc:mysql://h/db"),
     ]
     cols = [
         (1, 0, 0, "a#1", None), (1, 0, 1, "b#2", None),
@@ -84,7 +99,7 @@ def rows(df, *cols):
 
 
 def test_root_gate(plan):
-    assert {r.execution_id for r in plan.tracked.collect()} == {1, 2, 3, 4, 6, 7, 8, 9, 10}
+    assert {r.execution_id for r in plan.tracked.collect()} == {1, 2, 3, 4, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15}
 
 
 def test_failures(plan):
@@ -93,6 +108,11 @@ def test_failures(plan):
         (3, "missing default filesystem"),
         (4, "jdbc read without dbtable"),
         (8, "output column without expression id"),
+        (11, "jdbc save without url"),
+        (12, "jdbc url without platform"),
+        (13, "hive path with fewer than two segments"),
+        (14, "missing default filesystem"),
+        (15, "hive path with fewer than two segments"),
     ]
 
 
