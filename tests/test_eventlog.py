@@ -27,6 +27,17 @@ def test_lineage_from_real_event_log(spark, event_dir):
     out3 = os.path.join(work, "out3")
     spark.table(table).write.mode("overwrite").parquet(out3)
 
+    # CSV join CSV, cached, written as CSV; and a union of two reads.
+    ca, cb, out4, out5 = (os.path.join(work, d) for d in ("ca", "cb", "out4", "out5"))
+    spark.range(10).selectExpr("id as C_Id", "id * 2 as x").write.mode("overwrite").option("header", "true").csv(ca)
+    spark.range(10).selectExpr("id as C_Id", "id * 3 as y").write.mode("overwrite").option("header", "true").csv(cb)
+    joined = spark.read.option("header", "true").csv(ca).join(spark.read.option("header", "true").csv(cb), "C_Id")
+    joined.cache()
+    joined.count()
+    joined.write.mode("overwrite").option("header", "true").csv(out4)
+    joined.unpersist()
+    spark.read.parquet(src).unionByName(spark.read.parquet(out1)).write.mode("overwrite").parquet(out5)
+
     tables = EL.lineage_tables(spark, event_dir)
     app = spark.sparkContext.applicationId
     execs = tables["executions"].filter(F.col("app_id") == app)
@@ -47,5 +58,9 @@ def test_lineage_from_real_event_log(spark, event_dir):
     # Catalog table scan: its catalog name and its root path, by both walks.
     tbl = [urn_hive("default." + table), file_urn(os.path.join(work, "tbl"))]
     assert got[file_urn(out3)] == tbl + tbl
+    # Cached join: the leaves of the cached plan, left then right.
+    assert got[file_urn(out4)] == [file_urn(ca), file_urn(cb)]
+    # Union of two file reads: each met by both walks.
+    assert got[file_urn(out5)] == [file_urn(src), file_urn(out1), file_urn(src), file_urn(out1)]
     settings = EL.session_settings(tables["events"])
     assert settings.filter(F.col("key") == "spark.master").count() >= 1
