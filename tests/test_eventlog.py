@@ -64,3 +64,25 @@ def test_lineage_from_real_event_log(spark, event_dir):
     assert got[file_urn(out5)] == [file_urn(src), file_urn(out1), file_urn(src), file_urn(out1)]
     settings = EL.session_settings(tables["events"])
     assert settings.filter(F.col("key") == "spark.master").count() >= 1
+
+
+def test_real_log_jdbc_read_without_logged_url(spark, event_dir):
+    """Spark logs no JDBC URL: the table name is read from the scan, and the
+    execution fails for lack of a platform, as the reference would."""
+    work = tempfile.mkdtemp(prefix="tracery-jdbc-")
+    url = f"jdbc:derby:{work}/db;create=true"
+    opts = {"url": url, "dbtable": "T9", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    spark.range(4).write.format("jdbc").options(**opts).mode("overwrite").save()
+    out = os.path.join(work, "fromjdbc")
+    spark.read.format("jdbc").options(**opts).load().write.mode("overwrite").parquet(out)
+
+    tables = EL.lineage_tables(spark, event_dir)
+    app = spark.sparkContext.applicationId
+    execs = tables["executions"].filter(F.col("app_id") == app)
+    nodes = tables["plan_nodes"].join(execs.select("execution_id", "app_key"), ["execution_id", "app_key"], "left_semi")
+    scans = nodes.filter(F.col("node_name").startswith("Scan JDBCRelation")).select(
+        "node_class", "relation_class", "jdbc_table", "jdbc_url").distinct().collect()
+    assert [tuple(r) for r in scans] == [("LogicalRelation", "JDBCRelation", "T9", None)]
+    plan = LineagePlan(execs.drop("app_id", "app_key"), nodes.select(*NODE_COLS), spark.createDataFrame([], COLS))
+    reasons = {r.fail_reason for r in plan.failed.collect()}
+    assert "jdbc url without platform" in reasons
