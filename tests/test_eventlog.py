@@ -86,3 +86,24 @@ def test_real_log_jdbc_read_without_logged_url(spark, event_dir):
     plan = LineagePlan(execs.drop("app_id", "app_key"), nodes.select(*NODE_COLS), spark.createDataFrame([], COLS))
     reasons = {r.fail_reason for r in plan.failed.collect()}
     assert "jdbc url without platform" in reasons
+
+
+def test_zstd_compressed_log_reads_like_plain(spark, event_dir):
+    """Spark's default event-log codec is zstd; compressed files give the same events."""
+    import glob
+
+    import zstandard
+
+    plain_files = [f for f in glob.glob(os.path.join(event_dir, "**", "*"), recursive=True)
+                   if os.path.isfile(f) and not f.endswith(".zstd") and os.path.getsize(f) > 0]
+    assert plain_files
+    copy = tempfile.mkdtemp(prefix="tracery-zstd-")
+    app_dir = os.path.join(copy, "eventlog_v2_app-zstd")
+    os.makedirs(app_dir)
+    with open(plain_files[0], "rb") as src, open(os.path.join(app_dir, "events_1_app-zstd.zstd"), "wb") as dst:
+        dst.write(zstandard.ZstdCompressor().compress(src.read()))
+    packed = EL.read_events(spark, copy)
+    n_plain = sum(1 for line in open(plain_files[0]) if line.strip())
+    assert packed.count() == n_plain
+    assert packed.filter(F.col("event").isNull()).count() == 0
+    assert packed.select("app_key").distinct().collect()[0][0] == "eventlog_v2_app-zstd"

@@ -77,11 +77,43 @@ def _ts(ms: Column) -> Column:
     return F.timestamp_millis(ms).cast("timestamp_ntz")
 
 
+COMPRESSED_SUFFIX = ".zstd"
+
+
+def _unzstd(batches):
+    """Decompress zstd event-log files into lines (per-file helper for
+    ``mapInPandas``; rolling logs cap each file's size)."""
+    import io
+
+    import pandas as pd
+    import zstandard
+
+    for pdf in batches:
+        paths, lines = [], []
+        for path, blob in zip(pdf["path"], pdf["content"]):
+            text = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(blob)).read().decode("utf-8")
+            for line in text.splitlines():
+                paths.append(path)
+                lines.append(line)
+        yield pd.DataFrame({"path": paths, "value": lines})
+
+
 def read_events(spark: SparkSession, root: str) -> DataFrame:
-    """All event lines with the application key and event name."""
+    """All event lines with the application key and event name.
+
+    Plain logs are read as text; zstd-compressed logs (Spark's default
+    codec) are decompressed per file.
+    """
     name = root.rstrip("/").rsplit("/", 1)[-1]
-    app_key = F.regexp_extract(F.input_file_name(), re.escape(name) + r"/([^/]+)", 1)
-    return spark.read.option("recursiveFileLookup", "true").text(root).select(
+    plain = spark.read.option("recursiveFileLookup", "true").text(root).select(
+        F.input_file_name().alias("path"), "value")
+    plain = plain.filter(~F.col("path").endswith(COMPRESSED_SUFFIX))
+    packed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*" + COMPRESSED_SUFFIX).load(root)
+              .select("path", "content").mapInPandas(_unzstd, "path string, value string"))
+    lines = plain.unionByName(packed)
+    app_key = F.regexp_extract("path", re.escape(name) + r"/([^/]+)", 1)
+    return lines.select(
         app_key.alias("app_key"),
         F.get_json_object("value", "$.Event").alias("event"),
         F.col("value").alias("json"),
