@@ -107,3 +107,20 @@ def test_zstd_compressed_log_reads_like_plain(spark, event_dir):
     assert packed.count() == n_plain
     assert packed.filter(F.col("event").isNull()).count() == 0
     assert packed.select("app_key").distinct().collect()[0][0] == "eventlog_v2_app-zstd"
+
+
+def test_lineage_job_from_event_logs(spark, event_dir):
+    """The end-to-end job writes lineage tables for every logged application."""
+    from tracery.plans.jobs import lineage_from_event_logs
+
+    work = tempfile.mkdtemp(prefix="tracery-job-")
+    src, out = os.path.join(work, "src"), os.path.join(work, "out")
+    spark.range(20).write.mode("overwrite").parquet(src)
+    spark.read.parquet(src).write.mode("overwrite").parquet(out)
+    paths = lineage_from_event_logs(spark, event_dir, os.path.join(work, "lineage"))
+    io = spark.read.parquet(paths["job_io"])
+    mine = io.filter(F.col("output_urns").contains(f"file:{out},"))
+    assert mine.count() == 1
+    assert mine.first().input_urns.count(f"file:{src},") == 2
+    catalog = spark.read.parquet(paths["catalog"])
+    assert catalog.groupBy("urn", "aspect_name").count().filter("count > 1").count() == 0
