@@ -13,6 +13,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op8_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracery.llm.pair_bpe import digest_documents
+
+    return digest_documents(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracery.llm.token_files import read_token_files, write_token_files
 
@@ -20,5 +26,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op10_token_files,)}
+QUERIES = {f.__name__: f for f in (
+    op8_pair_bpe,
+    op10_token_files,
+)}
 ORACLES: dict[str, str] = {}
