@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text handled at once inside a task; a single longer row is handled alone.
 PIECE_BYTES = 4 << 20
@@ -61,5 +62,9 @@ def crc_bucket(column: str, n: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
+def with_fields(schema: StructType, ddl: str) -> StructType:
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

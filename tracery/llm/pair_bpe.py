@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tracery.llm.common import pieces
+from tracery.llm.common import pieces, with_fields
 
 CACHE_ENTRIES = 500_000
 #: Fixed value: Unicode white space.
@@ -205,7 +205,7 @@ def codec(path: str) -> PairBpe:
 
 def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``ids``."""
-    schema = docs.select(*keep).schema.add("ids", "array<int>")
+    schema = with_fields(docs.select(*keep).schema, "ids array<int>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
@@ -235,6 +235,5 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
                 pa.array([sha256(bpe.decode(x).encode()).hexdigest() for x in found], pa.string()),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    schema = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string").add(
-        "decoded_sha256", "string")
+    schema = with_fields(docs.select("doc_id").schema, "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return docs.select("doc_id", "text").mapInArrow(run, schema)

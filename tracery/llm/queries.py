@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracery.llm import decontaminate
 from tracery.llm.common import read
 
 
@@ -13,6 +14,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)
+
+
 def op8_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracery.llm.pair_bpe import digest_documents
 
@@ -27,7 +33,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_decontaminate,
     op8_pair_bpe,
     op10_token_files,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": decontaminate.ORACLE,
+}
