@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate
+from tracery.llm import decontaminate, warc
 from tracery.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.summary(warc.derivatives(warc.responses(read(spark, sf_dir, "pages"))))
+
+
 def op8_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracery.llm.pair_bpe import digest_documents
 
@@ -34,9 +38,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
+    op6_warc_derivatives,
     op8_pair_bpe,
     op10_token_files,
 )}
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.ORACLE,
+    "op6_warc_derivatives": warc.oracle(),
 }
