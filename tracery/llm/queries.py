@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate, warc
+from tracery.llm import decontaminate, warc, winnow
 from tracery.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.successor_report(read(spark, sf_dir, "documents"))
+
+
 def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.summary(warc.derivatives(warc.responses(read(spark, sf_dir, "pages"))))
 
@@ -38,6 +42,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
+    op4_winnowing,
     op6_warc_derivatives,
     op8_pair_bpe,
     op10_token_files,
