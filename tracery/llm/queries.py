@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate, warc, winnow
+from tracery.llm import decontaminate, secrets, warc, winnow
 from tracery.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.summary(warc.derivatives(warc.responses(read(spark, sf_dir, "pages"))))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
+
+
 def op8_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracery.llm.pair_bpe import digest_documents
 
@@ -44,6 +48,7 @@ QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op4_winnowing,
     op6_warc_derivatives,
+    op7_secret_scan,
     op8_pair_bpe,
     op10_token_files,
 )}
