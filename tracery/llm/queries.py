@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate, secrets, warc, winnow
+from tracery.llm import decontaminate, ppm, secrets, warc, winnow
 from tracery.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_corpus(read(spark, sf_dir, "documents"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.successor_report(read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
+    op2_ppm_scores,
     op4_winnowing,
     op6_warc_derivatives,
     op7_secret_scan,

@@ -29,29 +29,58 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracery.llm.common import batch, partitions, pieces, slice_bounds, slice_of, utf8
+from tracery.llm.common import PIECE_BYTES, batch, partitions, pieces, slice_bounds, slice_of
+from tracery.llm.pair_bpe import byte_letters
 from tracery.session import scratch_path
 
 MAGIC = b"FRB1"
 BLOCK_IDS = 1 << 20
 #: Entries of the per-worker caches of encoded words.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 #: Fixed value: the pre-token pattern of the byte-level vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
+class Recent:
+    """A bounded cache: entries not used while as many new ones came are dropped."""
+
+    def __init__(self, size: int, make):
+        self.size, self.make, self.young, self.old = size, make, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is None:
+                found = self.make(key)
+            self.young[key] = found
+        return found
+
+    def all(self, keys: list) -> list:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, keys))
+        for i, v in enumerate(found):
+            if v is None:
+                found[i] = self.get(keys[i])
+        return found
+
+
 class WordEncoder:
     """Encodes texts with a byte-level tokenizer file, each distinct word once.
 
-    Pre-tokens never cross a single space between two non-space characters,
-    so a text is the concatenation of its space-separated chunks; chunks and
-    pre-tokens are cached. Texts with other spacing are cut by the pre-token
-    pattern; texts that hold an added token go to the library whole.
+    Pre-tokens never cross a single space between two non-space characters, so
+    a text is the concatenation of its space-separated chunks. The distinct
+    chunks of a piece of the column are cut into pre-tokens, these are encoded
+    by the library's model and cached, and the texts are put together by
+    index. Texts with other spacing are cut by the pre-token pattern; texts
+    that hold an added token go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -62,43 +91,67 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cut = regex.compile(PRE_TOKEN).findall
-        self.chunks: dict[str, bytes | None] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, self.width).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks.clear()
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        chunks, known = self.chunks, self.words
-        split = [t.split(" ") for t in texts]
-        cut = {c: None if not c or c[0].isspace() or c[-1].isspace() else self.cut(f" {c}")
-               for c in {c for parts in split for c in parts[1:] if c not in chunks}}
-        first = [self.cut(parts[0]) for parts in split]
-        self._learn({w for ws in cut.values() if ws for w in ws} | {w for ws in first for w in ws})
-        for c, ws in cut.items():
-            chunks[c] = None if ws is None else b"".join([known[w] for w in ws])
-        out = []
-        for text, parts, start in zip(texts, split, first):
-            if any(a in text for a in self.added):
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, self.width).tobytes())
-                continue
-            found = [chunks[c] for c in parts[1:]]
-            if None in found or (len(parts) > 1 and (not parts[0] or parts[0][-1].isspace())):
-                ws = self.cut(text)
-                self._learn(set(ws))
-                out.append(b"".join([known[w] for w in ws]))
-            else:
-                out.append(b"".join([known[w] for w in start] + found))
-        return out
+        self.letters = dict(enumerate(byte_letters()))
+        self.pattern = regex.compile(PRE_TOKEN).findall
+        self.chunks, self.words = Recent(CACHE_ENTRIES, self._chunk), Recent(CACHE_ENTRIES, self._word)
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(letters)], self.width).tobytes()
+
+    def text(self, text: str) -> bytes:
+        """Ids of a text on its own."""
+        if any(a in text for a in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+        return b"".join(map(self.words.get, self.pattern(text)))
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk after a space."""
+        if chunk.isalpha():
+            return self._word(f" {chunk}")
+        if chunk[-1] in ".,;:!?|" and chunk[:-1].isalpha():
+            return self.chunks.get(chunk[:-1]) + self.words.get(chunk[-1])
+        return self.text(f" {chunk}")
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the column's texts, and ids per text."""
+        split = pc.split_pattern(pc.fill_null(column.cast(pa.large_string()), ""), " ")
+        first = np.asarray(split.offsets)[:-1] - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        codes = np.asarray(coded.indices).astype(np.int64)
+        distinct = coded.dictionary
+        names = distinct.to_pylist()
+        if not len(codes):
+            return np.zeros(0, self.width), np.zeros(len(column), np.int64)
+        inner = pc.utf8_trim_whitespace(distinct)
+        odd = np.asarray(pc.or_(pc.not_equal(inner, distinct), pc.equal(inner, "")))[codes]
+        # A text's first chunk follows no space: it may begin with one, but not end with one before the next.
+        starts = [names[c] for c in codes[first].tolist()]
+        size = np.diff(np.append(first, len(codes)))
+        odd[first] = [n > 1 and (not c or c[-1].isspace()) for c, n in zip(starts, size.tolist())]
+        whole = np.add.reduceat(odd, first) > 0
+        for added in self.added:
+            special = np.asarray(pc.match_substring(distinct, added))
+            if special.any():
+                whole |= np.add.reduceat(special[codes], first) > 0
+        rest = codes.copy()
+        rest[first] = -1
+        used = np.zeros(len(names), bool)
+        used[rest[(rest >= 0) & ~np.repeat(whole, size)]] = True
+        texts = column.to_pylist() if whole.any() else []
+        parts = self.chunks.all(names if used.all() else [c if u else "-" for c, u in zip(names, used.tolist())])
+        parts += [self.text(texts[i] or "") if w else self.text(c) for i, (c, w) in enumerate(zip(starts, whole.tolist()))]
+        pool = np.frombuffer(b"".join(parts), self.width)
+        length = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width.itemsize
+        begin = np.cumsum(length) - length
+        codes[first] = len(names) + np.arange(len(first))
+        n = length[codes]
+        n[np.repeat(whole, size) & (rest >= 0)] = 0
+        at = np.arange(n.sum()) + np.repeat(begin[codes] - (np.cumsum(n) - n), n)
+        return pool[at], np.add.reduceat(n, first)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -117,8 +170,9 @@ def encoder(path: str) -> WordEncoder:
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit values."""
     raw = np.ascontiguousarray(values, "<u4")
-    length = 1 + (raw > 0xFF) + (raw > 0xFFFF) + (raw > 0xFFFFFF)
-    data = raw.view(np.uint8).reshape(-1, 4)[np.arange(4) < length[:, None]]
+    length = 1 + (raw > 0xFF).astype(np.uint8) + (raw > 0xFFFF) + (raw > 0xFFFFFF)
+    most = int(length.max(initial=1))
+    data = raw.view(np.uint8).reshape(-1, 4)[:, :most][np.arange(most) < length[:, None]]
     codes = np.zeros(-(-len(raw) // 4) * 4, np.uint8)
     codes[:len(raw)] = length - 1
     codes = codes.reshape(-1, 4)
@@ -137,15 +191,15 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 
 def write_block(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
-    seen, inverse, often = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-often, kind="stable")
-    rank = np.empty(len(seen), np.uint32)
-    rank[order] = np.arange(len(seen), dtype=np.uint32)
-    control, data = pack(rank[inverse])
+    often = np.bincount(ids)
+    by_rank = np.argsort(-often, kind="stable")[:np.count_nonzero(often)]
+    rank = np.zeros(len(often), np.uint32)
+    rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
+    control, data = pack(rank[ids])
     return b"".join([
-        MAGIC, struct.pack("<III", len(counts), len(ids), len(seen)),
+        MAGIC, struct.pack("<III", len(counts), len(ids), len(by_rank)),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), bytes(d is not None for d in doc_ids),
-        np.array(counts, "<u4").tobytes(), seen[order].astype("<u4").tobytes(), control, data,
+        np.array(counts, "<u4").tobytes(), by_rank.astype("<u4").tobytes(), control, data,
     ])
 
 
@@ -182,11 +236,13 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, n_slices: int) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
-        end = np.array([end_id], words.width).tobytes()
-        for b in pieces(batches, "text"):
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            yield batch(_ENCODED, doc_id=b.column("doc_id"), slice=b.column("slice"),
-                        ids=[x + end for x in words.encode(texts)])
+        for b in pieces(batches, "text", 2 * PIECE_BYTES):
+            flat, counts = words.encode(b.column("text"))
+            data = np.insert(flat, np.cumsum(counts), end_id)
+            ends = np.append(0, np.cumsum(counts + 1)) * words.width.itemsize
+            ids = pa.Array.from_buffers(pa.binary(), b.num_rows,
+                                        [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data.tobytes())])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("slice"), ids], schema=_ENCODED)
 
     rows = docs.select(F.col("doc_id").cast("long"), slice_of("doc_id", bounds).alias("slice"), "text")
     return rows.mapInArrow(run, "doc_id long, slice int, ids binary")
