@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate, ppm, secrets, warc, winnow
+from tracery.llm import decontaminate, ppm, secrets, toxicity, warc, winnow
 from tracery.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.successor_report(read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.summary(warc.derivatives(warc.responses(read(spark, sf_dir, "pages"))))
 
@@ -52,6 +56,7 @@ QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op2_ppm_scores,
     op4_winnowing,
+    op5_toxicity,
     op6_warc_derivatives,
     op7_secret_scan,
     op8_pair_bpe,
