@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate, ppm, secrets, toxicity, warc, winnow
+from tracery.llm import decontaminate, near_dup, ppm, secrets, toxicity, warc, winnow
 from tracery.llm.common import read
 
 
@@ -45,6 +45,10 @@ def op8_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_documents(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"), words=4)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracery.llm.token_files import read_token_files, write_token_files
 
@@ -60,6 +64,7 @@ QUERIES = {f.__name__: f for f in (
     op6_warc_derivatives,
     op7_secret_scan,
     op8_pair_bpe,
+    op9_near_duplicates,
     op10_token_files,
 )}
 ORACLES: dict[str, str] = {
