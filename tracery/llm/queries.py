@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate, near_dup, ppm, secrets, toxicity, warc, winnow
+from tracery.llm import decontaminate, near_dup, ppm, secrets, substring_dedup, toxicity, warc, winnow
 from tracery.llm.common import read
 
 
@@ -23,6 +23,10 @@ def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_corpus(read(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.successor_report(read(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op2_ppm_scores,
+    op3_substring_dedup,
     op4_winnowing,
     op5_toxicity,
     op6_warc_derivatives,

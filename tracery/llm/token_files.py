@@ -121,7 +121,7 @@ class WordEncoder:
         split = pc.split_pattern(pc.fill_null(column.cast(pa.large_string()), ""), " ")
         first = np.asarray(split.offsets)[:-1] - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
-        codes = np.asarray(coded.indices).astype(np.int64)
+        codes = np.array(coded.indices, np.int32)
         distinct = coded.dictionary
         names = distinct.to_pylist()
         if not len(codes):
@@ -145,13 +145,14 @@ class WordEncoder:
         parts = self.chunks.all(names if used.all() else [c if u else "-" for c, u in zip(names, used.tolist())])
         parts += [self.text(texts[i] or "") if w else self.text(c) for i, (c, w) in enumerate(zip(starts, whole.tolist()))]
         pool = np.frombuffer(b"".join(parts), self.width)
-        length = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width.itemsize
-        begin = np.cumsum(length) - length
-        codes[first] = len(names) + np.arange(len(first))
+        length = np.fromiter(map(len, parts), np.int32, len(parts)) // self.width.itemsize
+        begin = np.cumsum(length, dtype=np.int32) - length
+        codes[first] = len(names) + np.arange(len(first), dtype=np.int32)
         n = length[codes]
         n[np.repeat(whole, size) & (rest >= 0)] = 0
-        at = np.arange(n.sum()) + np.repeat(begin[codes] - (np.cumsum(n) - n), n)
-        return pool[at], np.add.reduceat(n, first)
+        at = np.repeat(begin[codes] - (np.cumsum(n, dtype=np.int32) - n), n)
+        at += np.arange(len(at), dtype=np.int32)
+        return pool[at], np.add.reduceat(n, first, dtype=np.int64)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -236,7 +237,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, n_slices: int) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
-        for b in pieces(batches, "text", 2 * PIECE_BYTES):
+        for b in pieces(batches, "text", 4 * PIECE_BYTES):
             flat, counts = words.encode(b.column("text"))
             data = np.insert(flat, np.cumsum(counts), end_id)
             ends = np.append(0, np.cumsum(counts + 1)) * words.width.itemsize

@@ -30,14 +30,14 @@ HIDDEN = ("script", "style", "noscript", "template", "title")
 BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&copy;": "©",
             "&reg;": "®", "&middot;": "·", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&amp;": "&"}
+_GAP = "[ \\t\\r\\n\\f]"
 #: (pattern, replacement) in order, as understood by both Java and RE2.
 TEXT_STEPS = [
-    ("(?s)<!--.*?-->", ""),
-    *[(f"(?is)<{e}(?:[ \\t\\r\\n\\f][^>]*)?>.*?</{e}[ \\t\\r\\n\\f]*>", "") for e in HIDDEN],
+    ("(?is)<(?:!--.*?--|" + "|".join(f"{e}(?:{_GAP}[^>]*)?>.*?</{e}{_GAP}*" for e in HIDDEN) + ")>", ""),
     (f"(?i)</?(?:{BLOCKS})(?:[ \\t\\r\\n\\f/][^>]*)?>", "\n"),
     ("<[^>]*>", ""),
 ]
-SPACE_STEPS = [("[ \\t\\r\\f]+", " "), (" ?\\n ?", "\n"), ("\\n+", "\n"), ("^[ \\n]+", ""), ("[ \\n]+$", "")]
+SPACE_STEPS = [(f"[ \\t\\r\\f]*\\n{_GAP}*", "\n"), ("[ \\t\\r\\f]+", " ")]
 TITLE = "(?is)<title[^>]*>(.*?)</title"
 LINK = "(?i)<a[ \\t\\r\\n\\f][^>]*?href=\"([^\"]*)\""
 
@@ -55,7 +55,7 @@ def _entities(column: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    return _steps(_entities(_steps(html, TEXT_STEPS)), SPACE_STEPS)
+    return F.trim(_steps(_entities(_steps(html, TEXT_STEPS)), SPACE_STEPS), F.lit(" \n"))
 
 
 def _line(column: Column) -> Column:
@@ -182,7 +182,7 @@ with page as (
 parts as (
   select page_id, response_id, {sql_line('url')} uri, {sql_urn('metadata', 'response_id')} metadata_id,
          {sql_urn('conversion', 'response_id')} conversion_id,
-         {_sql_steps(_sql_entities(_sql_steps('html', TEXT_STEPS)), SPACE_STEPS)} body,
+         trim({_sql_steps(_sql_entities(_sql_steps('html', TEXT_STEPS)), SPACE_STEPS)}, ' ' || chr(10)) body,
          {sql_line(_sql_entities(f"regexp_extract(html, {_quoted(TITLE)}, 1)"))} title,
          list_transform(regexp_extract_all(html, {_quoted(LINK)}, 1), lambda u: {sql_line('u')}) links,
          replace(http, {nl}, {nl} || 'source-header: ') headers, 'sha256:' || sha256(html) payload_digest,
