@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -94,13 +95,17 @@ class WordEncoder:
         self.model = self.library.model
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.width.itemsize == 2 else "I"
         self.letters = dict(enumerate(byte_letters()))
         self.pattern = regex.compile(PRE_TOKEN).findall
         self.chunks, self.words = Recent(CACHE_ENTRIES, self._chunk), Recent(CACHE_ENTRIES, self._word)
 
     def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(letters)], self.width).tobytes()
+        if word.isascii() and word.isprintable():  # only the space has another letter
+            letters = word.replace(" ", self.letters[32])
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def text(self, text: str) -> bytes:
         """Ids of a text on its own."""
