@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tracery.llm.common import pieces, utf8, with_fields
 
 WINDOW = 13
+SHARE = 20
 #: Normalised benchmark text per automaton and broadcast.
 PART_BYTES = 16 << 20
 #: On UTF-8 bytes, ``bytes.lower`` changes A-Z only and 0x80-0xFF is exactly the non-ASCII characters.
@@ -103,16 +104,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = [Windows(p.value, window) for p in shared]
         for b in pieces(batches, "text"):
-            n_words, n_hit, items, spans = [], [], [], []
-            for text in utf8(b.column("text")):
-                lower = text.lower()
-                words = _WORD.findall(lower)
-                hits = [h for a in automata for h in a.scan(words)]
-                ranges = _merged([(s, e) for s, e, _ in hits])
-                n_words.append(len(words))
-                n_hit.append(sum(e - s for s, e in ranges))
-                items.append(sorted({i for held in {h[2] for h in hits} for i in held}))
-                spans.append(_offsets(text, lower, ranges))
+            n_words, n_hit, items, spans = zip(*(examine(t, automata) for t in utf8(b.column("text"))))
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                 pa.array(items, pa.list_(pa.string())),
@@ -122,6 +114,29 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def examine(text: bytes, automata: list[Windows]) -> tuple[int, int, list[str], list[dict]]:
+    """Words, words hit, items found and hit spans of one text."""
+    lower = text.lower()
+    words = _WORD.findall(lower)
+    hits = [h for a in automata for h in a.scan(words)]
+    ranges = _merged([(s, e) for s, e, _ in hits])
+    return (len(words), sum(e - s for s, e in ranges), sorted({i for held in {h[2] for h in hits} for i in held}),
+            _offsets(text, lower, ranges))
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows that the rule calls contaminated."""
+    shared = [docs.sparkSession.sparkContext.broadcast(p) for p in parts(benchmark)]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata = [Windows(p.value) for p in shared]
+        for b in pieces(batches, "text"):
+            found = [examine(t, automata)[:2] for t in utf8(b.column("text"))]
+            yield b.filter(pa.array([not (hit and SHARE * hit >= n) for n, hit in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _offsets(text: bytes, lower: bytes, ranges: list[tuple[int, int]]) -> list[dict]:
     """Word ranges as character offsets: UTF-8 bytes that start a character are counted."""
     if not ranges:
@@ -133,8 +148,8 @@ def _offsets(text: bytes, lower: bytes, ranges: list[tuple[int, int]]) -> list[d
 
 
 def contaminated():
-    """The rule: some word is hit, and at least one word in twenty."""
-    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    """The rule: some word is hit, and at least one word in ``SHARE``."""
+    return (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
 
 
 def digest(found: DataFrame) -> DataFrame:

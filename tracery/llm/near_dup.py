@@ -330,3 +330,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("root"))).otherwise(F.col("doc_id")).alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest
+    id. Of rows with one id the one with the smallest text stays; rows with a
+    null id all stay."""
+    found = near_duplicates(docs, words, percent)
+    folder = scratch_path(docs.sparkSession, "near-dup-found")
+    found.select("doc_id", "kept").write.parquet(folder)
+    found = docs.sparkSession.read.schema("doc_id long, kept boolean").parquet(folder)
+    kept = docs.join(found.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    single = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min(F.struct("text", *others)).alias("_row")).select("doc_id", "_row.*").select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(single)

@@ -217,6 +217,24 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_i
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded_sha256``: each text is encoded and its
+    ids are decoded again in the same task."""
+    from hashlib import sha256
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = codec(path)
+        for b in pieces(batches, "text"):
+            found = bpe.encode([t or "" for t in b.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), pa.array([len(x) for x in found], pa.int64()), pa.array(found, pa.list_(pa.int32())),
+                pa.array([sha256(bpe.decode(x).encode()).hexdigest() for x in found], pa.string()),
+            ], names=["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    schema = with_fields(docs.select("doc_id").schema, "n_tokens long, ids array<int>, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
 def digest_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: each text is encoded
     and its ids decoded again in the same task."""

@@ -212,6 +212,24 @@ def train(docs: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> Char
     return net
 
 
+def all_spans(texts: list[str | None], net: CharNet | None) -> list[list[tuple[int, int, int]]]:
+    """Base spans of each text and the candidates that the network accepts."""
+    spans, waiting, found = [], [], []
+    for i, text in enumerate(texts):
+        text = text or ""
+        base = base_spans(text)
+        spans.append(base)
+        for s, e in candidates(text) if net else ():
+            if not any(s < y and x < e for x, y, _ in base):
+                mine = windows(text, s, e)
+                waiting.extend([(i, s, e)] * len(mine))
+                found.extend(mine)
+    if found:
+        for i, s, e in {w for w, q in zip(waiting, net.score(as_codes(found))) if q >= net.threshold}:
+            spans[i].append((s, e, 3))
+    return [sorted(x) for x in spans]
+
+
 def find_spans(docs: DataFrame, net: CharNet | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``spans``, an array of ``(start, end, kind)``."""
     schema = with_fields(docs.select(*keep).schema, "spans array<struct<start:long,end:long,kind:string>>")
@@ -219,26 +237,10 @@ def find_spans(docs: DataFrame, net: CharNet | None, keep: tuple[str, ...] = ("d
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
         for b in batches:
-            spans = []
-            waiting: list[tuple[int, int, int]] = []
-            found: list[bytes] = []
-            for i, text in enumerate(b.column("text").to_pylist()):
-                text = text or ""
-                base = base_spans(text)
-                spans.append(base)
-                for s, e in candidates(text) if net else ():
-                    if not any(s < y and x < e for x, y, _ in base):
-                        mine = windows(text, s, e)
-                        waiting.extend([(i, s, e)] * len(mine))
-                        found.extend(mine)
-            if found:
-                added = {w for w, q in zip(waiting, net.score(as_codes(found))) if q >= net.threshold}
-                for i, s, e in added:
-                    spans[i].append((s, e, 3))
+            spans = all_spans(b.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(
-                [[{"start": s, "end": e, "kind": KINDS[k]} for s, e, k in sorted(x)] for x in spans], kind)],
+                [[{"start": s, "end": e, "kind": KINDS[k]} for s, e, k in x] for x in spans], kind)],
                 names=[*keep, "spans"])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
@@ -272,15 +274,19 @@ def masked(text: str, spans: list[tuple[int, int]], mask: str) -> str:
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span masked; other columns and null texts stay."""
-    found = find_spans(docs, train(docs), tuple(docs.columns))
-    columns = docs.columns
+    """``docs`` with every span masked; null texts and all other columns stay,
+    but ``n_chars``, where there is one, follows the text."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t if not spans else masked(t, [(s["start"], s["end"]) for s in spans], mask)
-                     for t, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, b.column(c).type) if c == "text" else b.column(c)
-                                              for c in columns], names=columns)
-
-    return found.mapInArrow(run, docs.schema)
+            texts = b.column("text").to_pylist()
+            spans = all_spans(texts, shared.value)
+            texts = [masked(t, [x[:2] for x in s], mask) if s else t for t, s in zip(texts, spans)]
+            new = {"text": texts}
+            if "n_chars" in b.schema.names:
+                new["n_chars"] = [len(t) if s else n for t, s, n in zip(texts, spans, b.column("n_chars").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(new[f.name], f.type) if f.name in new else b.column(f.name) for f in b.schema], schema=b.schema)
+
+    return docs.mapInArrow(run, docs.schema)

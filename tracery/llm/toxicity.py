@@ -232,6 +232,18 @@ def score_documents(docs: DataFrame, classifier: Classifier, keep: tuple[str, ..
         run, with_fields(docs.select(*keep).schema, "score double"))
 
 
+def reject(docs: DataFrame, classifier: Classifier, threshold: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for b in batches:
+            yield b.filter(pa.array([model.score(t) < threshold for t in b.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score_documents(docs, train(docs, labels))
     return scored.select("doc_id", F.coalesce(crc_bucket("doc_id", LABEL_SPLIT) == 0, F.lit(True)).alias("held_out"),
