@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from tracery.functions import rules as R
 from tracery.operators.gates import KEY
-from tracery.operators.ranking import number_within_groups, top_k_within_groups
+from tracery.operators.ranking import number_within_groups
 from tracery.sources.fixtures import RUN_SPLIT
 
 CATALOG_KEY = ("urn", "aspect_name")
 WRITE_ORDER = ("started_at", KEY, "emit_seq")
 PAYLOAD = ("entity_type", "aspect")
-DEFAULT_PAGE = 200
 
 
 def number_runs(executions: DataFrame) -> DataFrame:
@@ -44,14 +43,18 @@ def latest_per_key(writes: DataFrame) -> DataFrame:
     ).select(*CATALOG_KEY, *[F.col(f"w.{c}").alias(c) for c in (*WRITE_ORDER, *PAYLOAD)])
 
 
-def flow_members(relationships: DataFrame, page_size: int = DEFAULT_PAGE) -> DataFrame:
-    """First page of entities that are part of a flow (INCOMING
-    ``IsPartOf``), ordered by URN. Entities past the page are not returned,
-    as with a single page request."""
-    rel = relationships.filter((F.col("rel_type") == "IsPartOf") & (F.col("direction") == "INCOMING")).select(
+def flow_members(relationships: DataFrame) -> DataFrame:
+    """Every entity that is part of a flow (INCOMING ``IsPartOf``)."""
+    return relationships.filter((F.col("rel_type") == "IsPartOf") & (F.col("direction") == "INCOMING")).select(
         F.col("entity_urn").alias("flow_urn"), F.col("related_urn").alias("member_urn")
     )
-    return top_k_within_groups(rel, ["flow_urn"], ["member_urn"], page_size, "rn")
+
+
+def catalog_members(catalog: DataFrame) -> DataFrame:
+    """D1 on a catalog table: the jobs of each flow, by their URNs."""
+    flow = F.regexp_extract("urn", r"^urn:li:dataJob:\((.*),ExecutionId_\d+\)$", 1)
+    return catalog.filter("entity_type = 'dataJob'").select(
+        flow.alias("flow_urn"), F.col("urn").alias("member_urn")).filter("flow_urn <> ''").distinct()
 
 
 def pipeline_reset(firsts: DataFrame, alive: DataFrame, members: DataFrame) -> DataFrame:

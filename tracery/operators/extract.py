@@ -32,10 +32,20 @@ CACHE_CLASS = "InMemoryRelation"
 SCAN_LEAVES = ("FileSourceScanExec", "RowDataSourceScanExec")
 HIVE_SCAN_MARK = "HiveTableScanExec"
 
+# Deeper nesting of cached plans can only be a cycle of parent ids.
+MAX_NESTING = 1000
+
 VISIT_COLS = (KEY, "pass", "node_id", "leaf_id", "node_class", *NODE_ATTRS,
               "env", "input_override", "col_node")
 
 
+def with_paths(plan_nodes: DataFrame) -> DataFrame:
+    """``paths``: all root paths of a file relation; one if only ``path`` is given."""
+    if "paths" in plan_nodes.columns:
+        return plan_nodes
+    return plan_nodes.withColumn("paths", F.when(F.col("path").isNotNull(), F.array("path")))
+
+
 def direct_visits(tracked: DataFrame, plan_nodes: DataFrame) -> DataFrame:
     """I1 + I2: relation visits of the query walk and of the plan walk.
 
@@ -65,7 +75,7 @@ def direct_visits(tracked: DataFrame, plan_nodes: DataFrame) -> DataFrame:
 
 
 def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = True,
-                  unroll: int = 2, buckets: int | None = None) -> DataFrame:
+                  unroll: int = 2, buckets: int | None = None, written: list | None = None) -> DataFrame:
     """I9 + I10: leaves of the cached plans of visited in-memory relations.
 
     An ``InMemoryTableScanExec`` leaf stands for another cached relation; its
@@ -91,6 +101,8 @@ def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = T
         from tracery.session import write_table
 
         cached = write_table(cached, "cached_edges", bucket_by=KEY, buckets=buckets)
+        if written is not None:
+            written.append(cached)
 
     def deeper(front: DataFrame) -> DataFrame:
         return front.join(cached, [KEY, "parent_id"], "inner").select(
@@ -102,6 +114,8 @@ def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = T
 
     levels: list[DataFrame] = []
     while True:
+        if len(levels) > MAX_NESTING:
+            raise ValueError(f"cached plans nest deeper than {MAX_NESTING} levels: parent ids form a cycle")
         for _ in range(unroll):
             level = deeper(frontier)
             levels.append(level)
@@ -132,8 +146,9 @@ def relation_items(visits: DataFrame) -> DataFrame:
     """What each visited relation or cached leaf yields.
 
     ``sub`` 0 is the catalog name (Hive relation, catalog table of a logical
-    relation, cached Hive scan); ``sub`` 1 the base relation (file root path
-    or JDBC table). Each item may add an input dataset, record the relation's
+    relation, cached Hive scan); ``sub`` 1 the base relation (first file root
+    path or JDBC table), 2 and up a file relation's further root paths, in
+    their order. Each item may add an input dataset, record the relation's
     schema (I12), remember file columns (A3) or fail the execution (F5).
     """
     cls = F.col("node_class")
@@ -145,11 +160,14 @@ def relation_items(visits: DataFrame) -> DataFrame:
     base_item = cls.isin("LogicalRelation", *SCAN_LEAVES)
     subs = F.filter(F.array(F.when(catalog_item, F.lit(0)), F.when(base_item, F.lit(1))),
                     lambda s: s.isNotNull())
-    items = visits.select("*", F.explode(subs).alias("sub"))
+    items = visits.drop("path").select("*", F.explode(subs).alias("_sub"))
+    roots = F.when((F.col("_sub") == 1) & (F.col("relation_class") == "HadoopFsRelation"), F.col("paths"))
+    items = items.select("*", F.posexplode_outer(roots).alias("_at", "path")).withColumn(
+        "sub", F.col("_sub") + F.coalesce("_at", F.lit(0)))
 
     sub = F.col("sub")
     path = F.col("path")
-    is_file = (sub == 1) & (F.col("relation_class") == "HadoopFsRelation")
+    is_file = (sub >= 1) & (F.col("relation_class") == "HadoopFsRelation")
     is_jdbc = (sub == 1) & F.coalesce(F.col("relation_class").contains("JDBCRelation"), F.lit(False))
     # Split-based rules run once per row and only where they apply.
     prepared = items.select(
@@ -180,7 +198,8 @@ def relation_items(visits: DataFrame) -> DataFrame:
     fail = (
         F.when(hive_path & hive_name.isNull(), F.lit(R.FAIL_HIVE_PATH_SHORT))
         .when(is_jdbc & F.col("jdbc_table").isNull(), F.lit(R.FAIL_READ_NO_TABLE))
-        .when(is_jdbc & jdbc_platform.isNull(), F.lit(R.FAIL_URL_NO_PLATFORM))
+        # A read whose URL was not recorded stays unresolved; the rest of the plan counts.
+        .when(is_jdbc & F.col("jdbc_url").isNotNull() & jdbc_platform.isNull(), F.lit(R.FAIL_URL_NO_PLATFORM))
     )
     return prepared.select(
         KEY, "pass", "node_id", "leaf_id", "sub", "node_class", "env", "col_node",

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracery.functions import rules as R
 
 KEY = "execution_id"
-NODE_ATTRS = ("relation_class", "catalog_db", "catalog_table", "path", "jdbc_url", "jdbc_table")
+NODE_ATTRS = ("relation_class", "catalog_db", "catalog_table", "path", "paths", "jdbc_url", "jdbc_table")
 SEQ = ("pass", "node_id", "leaf_id", "sub")
 
 # Visit order of things met before the plan walk: the default filesystem is
@@ -45,9 +45,10 @@ def plan_roots(plan_nodes: DataFrame) -> DataFrame:
 
 def execution_context(executions: DataFrame, plan_nodes: DataFrame,
                       dev_markers: tuple[str, ...] = R.DEV_MARKERS) -> DataFrame:
-    """Executions whose plan is known, with the root node's attributes."""
+    """Executions that are not dropped and whose plan is known,
+    with the root node's attributes."""
     return (
-        with_job_number(executions)
+        with_job_number(executions.filter(drop_reason().isNull()))
         .join(plan_roots(plan_nodes), KEY, "inner")
         .withColumn("env", R.environment("default_fs", dev_markers))
     )
@@ -61,13 +62,17 @@ def executions_without_plan(executions: DataFrame, plan_nodes: DataFrame) -> Dat
     )
 
 
-def dropped_executions(executions: DataFrame) -> DataFrame:
-    """null guards (no context, or no start event) stop an execution."""
-    reason = (
+def drop_reason() -> Column:
+    """null guards (no context, or no start event)."""
+    return (
         F.when(F.col("app_name").isNull() | F.col("master").isNull(), F.lit("context is null"))
         .when(F.col("started_at").isNull(), F.lit("start event is null"))
     )
-    return executions.select(KEY, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def dropped_executions(executions: DataFrame) -> DataFrame:
+    """executions that the null guards stop."""
+    return executions.select(KEY, drop_reason().alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def tracked_nodes(plan_nodes: DataFrame) -> DataFrame:

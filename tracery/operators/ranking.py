@@ -7,13 +7,12 @@ Both helpers here spread a group over many tasks and stay exact.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups whose per-partition summary has at most this many rows are joined
-# back by broadcast; beyond it a shuffle join is used.
-BROADCAST_ROW_LIMIT = 2_000_000
-
+from tracery.session import write_table
 
 def _cols(names) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
@@ -24,33 +23,40 @@ def number_within_groups(df: DataFrame, groups: list[str], order: list[str], out
     """``row_number() over (partition by groups order by order) + start - 1``.
 
     The order columns must make a total order within a group. Rows are range
-    partitioned on ``groups + order`` (AQE splits nothing, the range bounds
-    already cut a hot group across tasks) and sorted within partitions; a
-    running id then counts rows. A per-(partition, group) summary, at most
-    ``partitions + groups`` rows, gives each group's offset in earlier
-    partitions. That summary is broadcast only after its size is checked.
-    The sort is total, so a lost partition recomputes to the same ids.
+    partitioned on ``groups + order`` (the range bounds cut a hot group across
+    tasks), sorted within partitions, and written once together with their
+    partition number and a running id. Range bounds are sampled anew by every
+    job that plans the exchange, so everything after reads the written table:
+    a per-(partition, group) summary, at most ``partitions + groups`` rows,
+    gives each group's offset in earlier partitions and is joined back on
+    both. A lost task reads the same written rows again.
     """
     keys = [*groups, *order]
-    tagged = (
+    tagged = write_table(
         df.repartitionByRange(*_cols(keys))
         .sortWithinPartitions(*_cols(keys))
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "numbered")
     stats = tagged.groupBy("_pid", *groups).agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    side = F.broadcast(offsets) if offsets.count() <= BROADCAST_ROW_LIMIT else offsets
     return (
-        tagged.join(side, ["_pid", *groups], "inner")
+        tagged.alias("t")
+        .join(offsets.alias("o"), _null_safe(["_pid", *groups]), "inner")
+        .select("t.*", "_first", "_before")
         .withColumn(out, (F.col("_mid") - F.col("_first") + F.col("_before") + F.lit(start)).cast("bigint"))
-        .drop("_pid", "_mid", "_first", "_n", "_before")
+        .drop("_pid", "_mid", "_first", "_before")
     )
 
 
+def _null_safe(names) -> Column:
+    """Equality on all names; a null group equals itself."""
+    return reduce(lambda a, b: a & b, [F.col(f"t.{c}").eqNullSafe(F.col(f"o.{c}")) for c in names])
+
+
 def top_k_within_groups(df: DataFrame, groups: list[str], order: list[str], k: int, out: str,
                         salt_buckets: int = 64) -> DataFrame:
     """Rows ranked ``1..k`` per group by ``order`` (exact), with ``out`` = rank.

@@ -1,12 +1,14 @@
 """End-to-end job: Spark event logs in, lineage tables out.
 
-    python -m tracery.plans.jobs --events <event-log folder> --out <folder>
+    python -m tracery.plans.jobs --events <event-log folder> --out <folder> [--catalog <folder>]
 
 Writes ``job_io`` (lineage per execution), ``aspects`` (catalog records),
 ``catalog`` (last write per URN and aspect) and ``failed_executions`` as
-parquet. Executions are keyed by ``(application, execution id)``: event logs
-of a fleet repeat execution ids across applications, so a surrogate key is
-used inside the job and the listener's number is kept for the job URN.
+parquet. Executions are keyed by ``(application, execution id)``, since event
+logs of a fleet repeat execution ids across applications; the listener's
+number is the job number. With ``--catalog``, an earlier run's catalog is
+carried on: at an application's first event the jobs of its flow are removed
+(pipeline reset), then this run's records are written.
 """
 
 from __future__ import annotations
@@ -21,29 +23,36 @@ from tracery.plans.lineage import LineagePlan
 from tracery.session import apply_runtime_conf, ensure_checkpoint_dir
 from tracery.sources import eventlog as EL
 
-PLAN_COLUMNS = "execution_id long, node_id int, ordinal int, column_text string, data_type string"
-
-
 def lineage_from_event_logs(spark: SparkSession, events_root: str, out_root: str,
-                            plan_columns: DataFrame | None = None) -> dict[str, str]:
-    """Run the lineage job over every application in ``events_root``."""
+                            plan_columns: DataFrame | None = None,
+                            catalog: str | None = None) -> dict[str, str]:
+    """Run the lineage job over every application in ``events_root``.
+
+    ``plan_columns`` (keyed by ``app_key, execution_id``) defaults to the
+    columns of the logged scans; a dataset without known columns gets no
+    schema record, so a schema that the catalog has is not overwritten.
+    """
     apply_runtime_conf(spark)
     ensure_checkpoint_dir(spark)
     tables = EL.lineage_tables(spark, events_root)
-    # Surrogate key per (application, execution); the listener's number stays
-    # the job number.
-    key = F.xxhash64("app_key", "execution_id")
+    key = F.struct("app_key", "execution_id")
     executions = tables["executions"].select(
-        key.alias("execution_id"), F.col("execution_id").alias("job_number"),
+        key.alias("execution_id"), F.col("execution_id").alias("job_number"), "app_key",
         "app_name", "master", "description", "started_at", "default_fs", "input_override", "output_override")
     nodes = tables["plan_nodes"].withColumn("execution_id", key).select(*EL.NODE_COLS)
-    columns = plan_columns if plan_columns is not None else spark.createDataFrame([], PLAN_COLUMNS)
-    plan = LineagePlan(executions, nodes, columns)
+    columns = plan_columns if plan_columns is not None else EL.scan_columns(tables["plan_nodes"])
+    columns = columns.withColumn("execution_id", key).drop("app_key")
+    plan = LineagePlan(executions, nodes, columns, listener=("app_key",), empty_schemas=False)
     out = out_root.rstrip("/")
+    writes = plan.aspects
+    if catalog is not None:
+        earlier = spark.read.parquet(catalog)
+        resets = C.pipeline_reset(plan.first_events, plan.alive, C.catalog_members(earlier))
+        writes = C.delete_entities(earlier, resets).select(*writes.columns).unionByName(writes)
     outputs = {
         "job_io": plan.job_io.drop("input_list", "output_list", "event_time"),
         "aspects": plan.aspects,
-        "catalog": C.latest_per_key(plan.aspects),
+        "catalog": C.latest_per_key(writes),
         "failed_executions": plan.failed,
     }
     paths = {}
@@ -57,9 +66,10 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Lineage tables from Spark event logs")
     parser.add_argument("--events", required=True, help="event-log folder (one entry per application)")
     parser.add_argument("--out", required=True, help="output folder for the lineage tables")
+    parser.add_argument("--catalog", help="catalog folder of an earlier run, in another output folder")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("tracery-lineage").getOrCreate()
-    for name, path in lineage_from_event_logs(spark, args.events, args.out).items():
+    for name, path in lineage_from_event_logs(spark, args.events, args.out, catalog=args.catalog).items():
         print(name, path)
 
 

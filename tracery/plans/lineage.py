@@ -25,8 +25,10 @@ class LineagePlan:
     def __init__(self, executions: DataFrame, plan_nodes: DataFrame, plan_columns: DataFrame,
                  listener: tuple[str, ...] = ("app_name",), dev_markers: tuple[str, ...] = R.DEV_MARKERS,
                  checkpoint: bool = True, seen_listeners: DataFrame | None = None,
-                 core: "LineagePlan | None" = None, buckets: int | None = None):
+                 core: "LineagePlan | None" = None, buckets: int | None = None, empty_schemas: bool = True):
         self.executions = executions
+        # Whether a file dataset without known columns gets a schema record.
+        self.empty_schemas = empty_schemas
         # Bucket count of the execution-keyed inputs, so written steps stay
         # co-located with them (None: the session's shuffle partitions).
         self.buckets = buckets
@@ -36,7 +38,7 @@ class LineagePlan:
         self.shared_core = core
         # Listeners that already emitted (streaming state): no first event again.
         self.seen_listeners = seen_listeners
-        self.plan_nodes = plan_nodes
+        self.plan_nodes = X.with_paths(plan_nodes)
         self.plan_columns = plan_columns
         self.listener = listener
         self.dev_markers = dev_markers
@@ -58,7 +60,8 @@ class LineagePlan:
 
     @cached_property
     def cached_leaves(self) -> DataFrame:
-        return X.cached_leaves(self.direct_visits, self.plan_nodes, self.checkpoint, buckets=self.buckets)
+        return X.cached_leaves(self.direct_visits, self.plan_nodes, self.checkpoint, buckets=self.buckets,
+                               written=self.written)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -89,7 +92,8 @@ class LineagePlan:
             return False
         try:
             for frame in self.written:
-                frame.limit(0).collect()
+                # A file that is gone or unreadable fails here, not in a query.
+                frame.select(F.lit(1)).head(1)
         except Exception:  # noqa: BLE001 - a dropped table or removed folder
             return False
         return True
@@ -175,7 +179,10 @@ class LineagePlan:
 
     @cached_property
     def aspects(self) -> DataFrame:
-        return Rec.aspects(self.alive, self.schema_metadata, self.job_io, self.job_info, self.first_events)
+        every = Rec.aspects(self.alive, self.schema_metadata, self.job_io, self.job_info, self.first_events)
+        if self.empty_schemas:
+            return every
+        return every.filter("not (aspect_name = 'schemaMetadata' and aspect like '%\"fields\":[]%')")
 
     @cached_property
     def catalog(self) -> DataFrame:
@@ -187,33 +194,24 @@ class TwoRunCatalog:
     """Two runs of every application against one catalog.
 
     Job numbers restart per run (``run_execution_id``), so a re-run writes the
-    same job URNs again; at each run's first event the flow's members (one
-    page) are deleted before the run's own records are written.
+    same job URNs again; at each run's first event all members of the flow are
+    deleted before the run's own records are written.
     """
 
     def __init__(self, executions: DataFrame, plan_nodes: DataFrame, plan_columns: DataFrame,
-                 runs: DataFrame, relationships: DataFrame, page_size: int = C.DEFAULT_PAGE,
+                 runs: DataFrame, relationships: DataFrame,
                  checkpoint: bool = True, core: LineagePlan | None = None, buckets: int | None = None):
         run_cols = runs.select(G.KEY, "run_no", F.col("run_execution_id").alias("job_number"))
         self.runs = run_cols
         self.relationships = relationships
-        self.page_size = page_size
         self.plan = LineagePlan(executions.join(run_cols, G.KEY, "inner"), plan_nodes, plan_columns,
                                 listener=("app_name", "run_no"), checkpoint=checkpoint, core=core,
                                 buckets=buckets)
 
-    def with_page_size(self, page_size: int) -> "TwoRunCatalog":
-        """Same runs and lineage core, another reset page size."""
-        other = object.__new__(TwoRunCatalog)
-        other.runs, other.relationships, other.plan = self.runs, self.relationships, self.plan
-        other.page_size = page_size
-        return other
-
     @property
     def writes(self) -> DataFrame:
-        """All records both runs emit, written once (shared by every page
-        size) and bucketed by URN so the per-URN upserts that follow combine
-        within buckets."""
+        """All records both runs emit, written once and bucketed by URN so
+        the per-URN upserts that follow combine within buckets."""
         shared = self.plan.__dict__
         if "_run_writes" not in shared:
             writes = self.plan.aspects.join(self.runs.select(G.KEY, "run_no"), G.KEY, "inner")
@@ -229,7 +227,7 @@ class TwoRunCatalog:
 
     @cached_property
     def members(self) -> DataFrame:
-        return C.flow_members(self.relationships, self.page_size)
+        return C.flow_members(self.relationships)
 
     @cached_property
     def reset(self) -> DataFrame:

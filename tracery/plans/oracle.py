@@ -55,7 +55,7 @@ def _env(fs: str) -> str:
     return f"(case when {fs} is null then null when contains({fs}, 'stag') then 'DEV' else 'PROD' end)"
 
 
-NODE_ATTRS = "relation_class, catalog_db, catalog_table, path, jdbc_url, jdbc_table"
+NODE_ATTRS = "relation_class, catalog_db, catalog_table, paths, jdbc_url, jdbc_table"
 
 
 def _lineage_ctes(p: str, executions: str) -> dict[str, str]:
@@ -67,7 +67,8 @@ def _lineage_ctes(p: str, executions: str) -> dict[str, str]:
         f"{p}ctx": f"""
 select e.*, r.node_class as root_class, r.catalog_db as root_catalog_db, r.catalog_table as root_catalog_table,
        r.path as root_path, r.jdbc_url as root_jdbc_url, r.jdbc_table as root_jdbc_table, {_env('e.default_fs')} as env
-from {executions} e join {n} r on r.execution_id = e.execution_id and r.edge_kind = 'root'""",
+from {executions} e join {n} r on r.execution_id = e.execution_id and r.edge_kind = 'root'
+where e.app_name is not null and e.master is not null and e.started_at is not null""",
         f"{p}tracked": f"select * from {p}ctx where root_class in ({TRACKED})",
         f"{p}visits": f"""
 select n.execution_id, 0 as pass, n.node_id, -1 as leaf_id, n.node_class, {', '.join('n.' + a.strip() for a in NODE_ATTRS.split(','))},
@@ -95,15 +96,16 @@ from {p}reach r
 where not exists (select 1 from {n} k where k.execution_id = r.execution_id and k.parent_id = r.node_id
                   and k.edge_kind = 'cached')""",
         f"{p}items0": f"""
-select v.*, s.sub,
+select v.*, case when s.sub = 1 and v.relation_class = 'HadoopFsRelation' then v.paths[s.k + 1] end as path,
+       s.sub + s.k as sub,
        s.sub = 1 and v.relation_class = 'HadoopFsRelation' as is_file,
        s.sub = 1 and coalesce(contains(v.relation_class, 'JDBCRelation'), false) as is_jdbc,
-       {_hive_name('v.path')} as hive_name,
+       {_hive_name("(case when s.sub = 1 then v.paths[s.k + 1] end)")} as hive_name,
        {_jdbc_platform('v.jdbc_url')} as jplat
-from (select * from {p}visits union all select * from {p}leaves) v, (values (0), (1)) s(sub)
-where (s.sub = 0 and ((v.node_class = 'LogicalRelation' and v.catalog_table is not null)
+from (select * from {p}visits union all select * from {p}leaves) v, (values (0, 0), (1, 0), (1, 1)) s(sub, k)
+where (s.k = 0 or (v.relation_class = 'HadoopFsRelation' and len(v.paths) > s.k)) and ((s.sub = 0 and ((v.node_class = 'LogicalRelation' and v.catalog_table is not null)
                       or v.node_class = 'HiveTableRelation' or contains(v.node_class, 'HiveTableScanExec')))
-   or (s.sub = 1 and v.node_class in ('LogicalRelation', 'FileSourceScanExec', 'RowDataSourceScanExec'))""",
+   or (s.sub = 1 and v.node_class in ('LogicalRelation', 'FileSourceScanExec', 'RowDataSourceScanExec')))""",
         f"{p}items1": f"""
 select *,
        is_file and path is not null and contains(path, 'hive') as hive_path,
@@ -271,25 +273,21 @@ select urn, aspect_name, started_at, execution_id, emit_seq, entity_type, aspect
   from {src}) x where rn = 1"""
 
 
-def _catalog_ctes(page: int) -> dict[str, str]:
-    s = f"p{page}_"
+def _catalog_ctes() -> dict[str, str]:
     return {
-        f"{s}members": f"""
-select flow_urn, member_urn, rn from (
-  select entity_urn as flow_urn, related_urn as member_urn,
-         row_number() over (partition by entity_urn order by related_urn) as rn
-  from fx_relationships where rel_type = 'IsPartOf' and direction = 'INCOMING') x
-where rn <= {page}""",
-        f"{s}reset": f"""
+        "c_members": """
+select entity_urn as flow_urn, related_urn as member_urn
+from fx_relationships where rel_type = 'IsPartOf' and direction = 'INCOMING'""",
+        "c_reset": f"""
 select a.app_name, m.member_urn as deleted_urn
 from r_alive a join r_firsts f on f.execution_id = a.execution_id
-join {s}members m on m.flow_urn = {_flow('a.app_name', 'a.master')}
+join c_members m on m.flow_urn = {_flow('a.app_name', 'a.master')}
 where f.run_no = 2""",
-        f"{s}after_reset": f"""
-select * from r_run1 c where c.urn not in (select deleted_urn from {s}reset)""",
-        f"{s}current": _latest(
-            f"(select * from {s}after_reset union all "
-            f"select urn, aspect_name, started_at, execution_id, emit_seq, entity_type, aspect from r_writes where run_no = 2)"),
+        "c_after_reset": """
+select * from r_run1 c where not exists (select 1 from c_reset d where d.deleted_urn = c.urn)""",
+        "c_current": _latest(
+            "(select * from c_after_reset union all "
+            "select urn, aspect_name, started_at, execution_id, emit_seq, entity_type, aspect from r_writes where run_no = 2)"),
     }
 
 
@@ -306,8 +304,7 @@ def _all_ctes() -> dict[str, str]:
                         "join fx_runs r on r.execution_id = w.execution_id")
     ctes["r_run1"] = _latest("(select * from r_writes where run_no = 1)")
     ctes["r_upsert"] = _latest("r_writes")
-    for page in (200, 50):
-        ctes.update(_catalog_ctes(page))
+    ctes.update(_catalog_ctes())
     return ctes
 
 
@@ -354,23 +351,19 @@ select execution_id, reason from (
                             "from fx_plan_nodes where contains(path, 'hive')"),
     "path_kind": ("select execution_id, node_id, path, case when contains(path, 'hive') then 'hive' else 'hdfs' end as kind "
                   "from fx_plan_nodes where path is not null"),
-    "path_override": """
+    "path_override": f"""
 select n.execution_id, n.node_id, n.path,
-       case when n.node_id = 0 then coalesce(nullif(e.output_override, ''), n.path)
+       case when n.node_class in ({SINKS}) then coalesce(nullif(e.output_override, ''), n.path)
             else coalesce(nullif(e.input_override, ''), n.path) end as dataset
 from fx_plan_nodes n join fx_executions e on e.execution_id = n.execution_id
 where n.path is not null""",
     "output_column_names": ("select execution_id, ordinal, split_part(column_text, '#', 1) as column_name "
                             "from fx_plan_columns where node_id = 0"),
     "catalog_upsert": "select emit_seq, entity_type, urn, aspect_name, aspect from r_upsert",
-    "catalog_current": "select emit_seq, entity_type, urn, aspect_name, aspect from p200_current",
-    "catalog_current_p50": "select emit_seq, entity_type, urn, aspect_name, aspect from p50_current",
-    "flow_members": "select flow_urn, member_urn, rn from p200_members",
-    "flow_members_p50": "select flow_urn, member_urn, rn from p50_members",
-    "pipeline_reset": "select app_name, deleted_urn from p200_reset",
-    "pipeline_reset_p50": "select app_name, deleted_urn from p50_reset",
-    "catalog_after_reset": "select urn, aspect_name from p200_after_reset",
-    "catalog_after_reset_p50": "select urn, aspect_name from p50_after_reset",
+    "catalog_current": "select emit_seq, entity_type, urn, aspect_name, aspect from c_current",
+    "flow_members": "select flow_urn, member_urn from c_members",
+    "pipeline_reset": "select app_name, deleted_urn from c_reset",
+    "catalog_after_reset": "select urn, aspect_name from c_after_reset",
     "catalog_live": """
 select urn, removed from (
   select urn, removed, row_number() over (partition by urn order by seq desc) as rn from fx_flow_status) x

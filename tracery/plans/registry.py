@@ -53,14 +53,11 @@ def lineage(spark: SparkSession, sf_dir: str) -> LineagePlan:
                                                                 buckets=fx.buckets))
 
 
-def two_runs(spark: SparkSession, sf_dir: str, page_size: int = C.DEFAULT_PAGE) -> TwoRunCatalog:
+def two_runs(spark: SparkSession, sf_dir: str) -> TwoRunCatalog:
     fx = _prepare(spark, sf_dir)
-    base = _reuse(spark, sf_dir, "two_runs", lambda: TwoRunCatalog(
+    return _reuse(spark, sf_dir, "two_runs", lambda: TwoRunCatalog(
         fx.executions, fx.plan_nodes, fx.plan_columns, fx["runs"], fx["relationships"],
         core=lineage(spark, sf_dir), buckets=fx.buckets))
-    if page_size == base.page_size:
-        return base
-    return base.with_page_size(page_size)
 
 
 # -- gates -------------------------------------------------------------------
@@ -190,7 +187,8 @@ def path_kind(spark, sf_dir):
 def path_override(spark, sf_dir):
     fx = _prepare(spark, sf_dir)
     ex = fx.executions.select(KEY, "input_override", "output_override")
-    dataset = (F.when(F.col("node_id") == 0, R.name_override("output_override", "path"))
+    sink = F.col("node_class").isin(*R.QUERY_SINKS)
+    dataset = (F.when(sink, R.name_override("output_override", "path"))
                .otherwise(R.name_override("input_override", "path")))
     return fx.plan_nodes.filter(F.col("path").isNotNull()).join(ex, KEY, "inner").select(
         KEY, "node_id", "path", dataset.alias("dataset"))
@@ -208,24 +206,20 @@ def catalog_upsert(spark, sf_dir):
     return two_runs(spark, sf_dir).upsert_all.select(*CATALOG_COLS)
 
 
-def _paged(page: int):
-    def current(spark, sf_dir):
-        return two_runs(spark, sf_dir, page).current.select(*CATALOG_COLS)
+def catalog_current(spark, sf_dir):
+    return two_runs(spark, sf_dir).current.select(*CATALOG_COLS)
 
-    def members(spark, sf_dir):
-        return two_runs(spark, sf_dir, page).members.select("flow_urn", "member_urn", "rn")
 
-    def reset(spark, sf_dir):
-        return two_runs(spark, sf_dir, page).reset.select("app_name", "deleted_urn")
+def flow_members(spark, sf_dir):
+    return two_runs(spark, sf_dir).members.select("flow_urn", "member_urn")
 
-    def after(spark, sf_dir):
-        return two_runs(spark, sf_dir, page).after_reset.select("urn", "aspect_name")
 
-    return current, members, reset, after
+def pipeline_reset(spark, sf_dir):
+    return two_runs(spark, sf_dir).reset.select("app_name", "deleted_urn")
 
 
-catalog_current, flow_members, pipeline_reset, catalog_after_reset = _paged(200)
-catalog_current_p50, flow_members_p50, pipeline_reset_p50, catalog_after_reset_p50 = _paged(50)
+def catalog_after_reset(spark, sf_dir):
+    return two_runs(spark, sf_dir).after_reset.select("urn", "aspect_name")
 
 
 def catalog_live(spark, sf_dir):
@@ -242,7 +236,11 @@ def _event_log(spark, sf_dir):
     from tracery.sources import eventlog as EL
 
     fx = _prepare(spark, sf_dir)
-    return fx, EL.lineage_tables(spark, fx.event_log())
+    # The log is parsed once per application and folder; every query reads the kinds it needs.
+    key = (spark.sparkContext.applicationId, sf_dir, "events")
+    if key not in _PLANS:
+        _PLANS[key] = EL.lineage_tables(spark, fx.event_log())
+    return fx, _PLANS[key]
 
 
 def _app_ids(events):
@@ -281,7 +279,7 @@ def event_plan_nodes(spark, sf_dir):
     from tracery.sources.eventlog import NODE_COLS
 
     _, t = _event_log(spark, sf_dir)
-    return t["plan_nodes"].select(*NODE_COLS)
+    return t["plan_nodes"].select(*[c for c in NODE_COLS if c != "paths"])
 
 
 def event_job_io(spark, sf_dir):
@@ -338,13 +336,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output_column_names": output_column_names,
     "catalog_upsert": catalog_upsert,
     "catalog_current": catalog_current,
-    "catalog_current_p50": catalog_current_p50,
     "flow_members": flow_members,
-    "flow_members_p50": flow_members_p50,
     "pipeline_reset": pipeline_reset,
-    "pipeline_reset_p50": pipeline_reset_p50,
     "catalog_after_reset": catalog_after_reset,
-    "catalog_after_reset_p50": catalog_after_reset_p50,
     "catalog_live": catalog_live,
     "sql_executions": sql_executions,
     "app_starts": app_starts,

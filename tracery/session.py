@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tracery-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
@@ -76,27 +79,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables."""
-    import uuid
-
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tracery-{name}-{uuid.uuid4().hex[:12]}"
 
 
-_TABLE_SEQ = [0]
-
-
 # Target input rows per bucket when sizing the bucket count of a data set.
 ROWS_PER_BUCKET = 4_000_000
 
 
 def bucket_count(spark: SparkSession, input_rows: int) -> int:
-    """Buckets for one data set's lineage tables: enough for the cluster's
-    parallelism and about ``ROWS_PER_BUCKET`` input rows each, never more
-    than the session's shuffle partitions (which a cluster sizes for its
-    data)."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    want = max(spark.sparkContext.defaultParallelism, -(-input_rows // ROWS_PER_BUCKET))
-    return max(1, min(cap, want))
+    """Buckets for one data set's lineage tables: as many as shuffle
+    partitions or cores for small inputs (whichever are fewer), and about
+    ``ROWS_PER_BUCKET`` input rows each for large ones, so a bucket's size
+    does not grow with the data."""
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(1, least, -(-input_rows // ROWS_PER_BUCKET))
 
 
 def write_table(frame, name: str, bucket_by: str | None = None, buckets: int | None = None):
@@ -107,10 +104,26 @@ def write_table(frame, name: str, bucket_by: str | None = None, buckets: int | N
     per shuffle partition), so later joins on that key need no exchange.
     """
     spark = frame.sparkSession
-    _TABLE_SEQ[0] += 1
-    table = f"tracery_{name}_{os.getpid()}_{_TABLE_SEQ[0]}"
-    writer = frame.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, name))
+    table = f"tracery_{name}_{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
+    writer = frame.write.mode("overwrite").format("parquet").option("path", path)
     if bucket_by:
         writer = writer.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), bucket_by)
     writer.saveAsTable(table)
-    return spark.table(table)
+    out = spark.table(table)
+    out.written_as = (table, path)
+    return out
+
+
+def drop_written(frames) -> None:
+    """Drop tables made by ``write_table`` and their files."""
+    for frame in frames:
+        table, path = frame.written_as
+        frame.sparkSession.sql(f"drop table if exists {table}")
+        delete_path(frame.sparkSession, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote below the checkpoint folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracery.operators.extract import with_paths
+
 # Event names as written by Spark.
 EV_SQL_START = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
 EV_APP_START = "SparkListenerApplicationStart"
@@ -41,9 +43,6 @@ KEY_DEFAULT_FS = "fs.defaultFS"
 KEY_INPUT_NAME = "spark.hdfs.ingestion.input.path"
 KEY_OUTPUT_NAME = "spark.hdfs.ingestion.output.path"
 
-# Largest per-application table that is broadcast to the start events.
-BROADCAST_APPS = 1_000_000
-
 # Physical wrappers that stand for their single child.
 WRAPPERS = ("AdaptiveSparkPlan", "WholeStageCodegen", "InputAdapter", "ColumnarToRow", "WriteFiles",
             "RowToColumnar", "AQEShuffleRead", "ResultQueryStage", "ShuffleQueryStage")
@@ -69,7 +68,7 @@ ENV_SCHEMA = T.StructType([
 ])
 
 NODE_COLS = ("execution_id", "node_id", "parent_id", "edge_kind", "node_class", "relation_class",
-             "catalog_db", "catalog_table", "path", "jdbc_url", "jdbc_table")
+             "catalog_db", "catalog_table", "path", "paths", "jdbc_url", "jdbc_table")
 
 
 def _ts(ms: Column) -> Column:
@@ -78,46 +77,78 @@ def _ts(ms: Column) -> Column:
 
 
 COMPRESSED_SUFFIX = ".zstd"
+# Spark's other event-log codecs, which are not read here.
+OTHER_SUFFIXES = (".lz4", ".lzf", ".snappy")
+# The events the lineage job needs.
+KINDS = (EV_SQL_START, EV_APP_START, EV_APP_END, EV_ENV)
+# Decompressed text per output batch.
+LINES_BYTES = 4 << 20
 
 
 def _unzstd(batches):
-    """Decompress zstd event-log files into lines (per-file helper for
-    ``mapInPandas``; rolling logs cap each file's size)."""
+    """Decompress zstd event-log files into lines, in batches of bounded size."""
     import io
 
     import pandas as pd
     import zstandard
 
     for pdf in batches:
-        paths, lines = [], []
         for path, blob in zip(pdf["path"], pdf["content"]):
-            text = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(blob)).read().decode("utf-8")
-            for line in text.splitlines():
-                paths.append(path)
-                lines.append(line)
-        yield pd.DataFrame({"path": paths, "value": lines})
+            stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(blob), read_across_frames=True)
+            lines, size = [], 0
+            # newline="\n": other line separators are part of an event's text.
+            for line in io.TextIOWrapper(stream, encoding="utf-8", newline="\n"):
+                lines.append(line.rstrip("\n"))
+                size += len(line)
+                if size >= LINES_BYTES:
+                    yield pd.DataFrame({"path": path, "value": lines})
+                    lines, size = [], 0
+            if lines:
+                yield pd.DataFrame({"path": path, "value": lines})
+
+
+def _folders(path: str) -> int:
+    """Number of path components below the file system's root."""
+    return len([p for p in re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).split("/") if p])
 
 
 def read_events(spark: SparkSession, root: str) -> DataFrame:
-    """All event lines with the application key and event name.
+    """The needed event lines with the application key and event name.
 
-    Plain logs are read as text; zstd-compressed logs (Spark's default
-    codec) are decompressed per file.
+    Plain logs are read as text; zstd-compressed logs (Spark's default codec)
+    are decompressed per file. The application key is the path's first
+    component below ``root``. A log in another codec raises an error.
     """
-    name = root.rstrip("/").rsplit("/", 1)[-1]
-    plain = spark.read.option("recursiveFileLookup", "true").text(root).select(
-        F.input_file_name().alias("path"), "value")
-    plain = plain.filter(~F.col("path").endswith(COMPRESSED_SUFFIX))
-    packed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*" + COMPRESSED_SUFFIX).load(root)
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    base = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).resolvePath(base).toString()
+    binary = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    for suffix in OTHER_SUFFIXES:
+        found = binary.option("pathGlobFilter", "*" + suffix).load(root).select("path").head(1)
+        if found:
+            raise ValueError(f"event log in a codec that is not read: {found[0].path}")
+    # The filter is on file metadata, so compressed files are not listed for the text scan.
+    plain = (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
+             .filter(~F.col("_metadata.file_name").endswith(COMPRESSED_SUFFIX))
+             .select(F.col("_metadata.file_path").alias("path"), "value"))
+    packed = (binary.option("pathGlobFilter", "*" + COMPRESSED_SUFFIX).load(root)
               .select("path", "content").mapInPandas(_unzstd, "path string, value string"))
-    lines = plain.unionByName(packed)
-    app_key = F.regexp_extract("path", re.escape(name) + r"/([^/]+)", 1)
-    return lines.select(
-        app_key.alias("app_key"),
+    parts = F.filter(F.split(F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda p: p != "")
+    return plain.unionByName(packed).select(
+        F.get(parts, F.lit(_folders(base))).alias("app_key"),
         F.get_json_object("value", "$.Event").alias("event"),
         F.col("value").alias("json"),
-    )
+    ).filter(F.col("event").isin(*KINDS))
+
+
+def written_events(spark: SparkSession, root: str) -> DataFrame:
+    """``read_events`` parsed once: written by kind, so each consumer reads only its own."""
+    from tracery.session import scratch_path
+
+    path = scratch_path(spark, "events")
+    events = read_events(spark, root)
+    events.write.partitionBy("event").parquet(path)
+    return spark.read.schema(events.schema).parquet(path)
 
 
 def app_starts(events: DataFrame) -> DataFrame:
@@ -163,13 +194,11 @@ def sql_executions(events: DataFrame) -> DataFrame:
             (KEY_MASTER, "master"), (KEY_DEFAULT_FS, "default_fs"),
             (KEY_INPUT_NAME, "input_override"), (KEY_OUTPUT_NAME, "output_override"))]
     )
-    # One row per application. An application may hold a third of all start
-    # events, so the per-application side is broadcast once its row count
-    # is checked; above the limit a shuffle join (AQE skew split) is used.
+    # One row per application; a hot application's start events are split by
+    # AQE's skew join.
     per_app = app_starts(events).select("app_key", "app_id", "app_name").join(settings, "app_key", "full")
-    side = F.broadcast(per_app) if per_app.count() <= BROADCAST_APPS else per_app
     return (
-        sql_starts(events).join(side, "app_key", "left")
+        sql_starts(events).join(per_app, "app_key", "left")
         .select("execution_id", "app_name", "master", "description", "started_at", "default_fs",
                 F.coalesce("input_override", F.lit("")).alias("input_override"),
                 F.coalesce("output_override", F.lit("")).alias("output_override"),
@@ -214,10 +243,22 @@ def _physical_class(name: Column) -> tuple[Column, Column]:
     return cls, rel
 
 
-def _location_path(meta: Column) -> Column:
-    """First root path of a file scan: ``Location: InMemoryFileIndex(1 paths)[p, ...]``."""
-    loc = F.regexp_extract(meta.getItem("Location"), r"\[([^,\]]+)", 1)
-    return F.when(loc != "", loc)
+def _location_paths(meta: Column) -> Column:
+    """Root paths of a file scan: ``Location: InMemoryFileIndex(2 paths)[p, q]``.
+
+    Spark shortens long lists; where fewer paths are printed than the count
+    says, the list ends with ``UNLISTED``, so a missing path is seen.
+    """
+    loc = meta.getItem("Location")
+    count = F.regexp_extract(loc, r"\((\d+) paths?\)", 1).cast("int")
+    listed = F.filter(F.split(F.regexp_extract(loc, r"\[(.*?)\]?$", 1), r",\s*"),
+                      lambda p: (p != "") & ~p.endswith("..."))
+    told = F.when(F.size(listed) < count, F.concat(listed, F.array(F.lit(UNLISTED)))).otherwise(listed)
+    return F.when(F.size(told) > 0, told)
+
+
+# Stands for root paths that the event log does not print.
+UNLISTED = "(more paths, not in the event log)"
 
 
 FLAT_SCHEMA = ("app_key string, execution_id long, node_id int, parent_id int, in_cache boolean, "
@@ -287,6 +328,9 @@ def _node_rows(nodes: DataFrame) -> DataFrame:
         .when(F.col("in_cache"), F.lit("cached"))
         .otherwise(F.lit("child")),
     )
+    one = F.coalesce(meta.getItem("path"), _sink_path(F.col("simple")))
+    paths = F.coalesce(F.from_json(meta.getItem("paths"), "array<string>"), _location_paths(meta),
+                       F.when(one.isNotNull(), F.array(one)))
     return nodes.select(
         "execution_id", "node_id", "parent_id",
         edge.alias("edge_kind"),
@@ -294,14 +338,42 @@ def _node_rows(nodes: DataFrame) -> DataFrame:
         F.coalesce(meta.getItem("relationClass"), rel).alias("relation_class"),
         F.coalesce(meta.getItem("catalogDb"), _catalog_part(1)).alias("catalog_db"),
         F.coalesce(meta.getItem("catalogTable"), _catalog_part(2)).alias("catalog_table"),
-        F.coalesce(meta.getItem("path"), _location_path(meta), _sink_path(F.col("simple"))).alias("path"),
+        F.get(paths, F.lit(0)).alias("path"),
+        paths.alias("paths"),
         meta.getItem("jdbcUrl").alias("jdbc_url"),
         F.coalesce(meta.getItem("jdbcTable"), _nonempty(F.regexp_extract(
             F.col("node_name"), r"^Scan JDBCRelation\((.+?)\)", 1))).alias("jdbc_table"),
-        "app_key", "node_name",
+        "app_key", "node_name", meta.getItem("ReadSchema").alias("read_schema"),
     )
 
 
+def _split_schema(batches):
+    """Fields of ``struct<a:int,b:array<...>>`` texts, split at the outer commas."""
+    import pandas as pd
+
+    for pdf in batches:
+        out = []
+        for app, ex, node, text in zip(pdf["app_key"], pdf["execution_id"], pdf["node_id"], pdf["read_schema"]):
+            depth, start, fields = 0, 0, []
+            body = text[len("struct<"):-1] + ","
+            for i, c in enumerate(body):
+                depth += (c in "<(") - (c in ">)")
+                if c == "," and depth == 0:
+                    fields.append(body[start:i])
+                    start = i + 1
+            out += [(app, ex, node, k, *f.split(":", 1)) for k, f in enumerate(fields) if ":" in f]
+        yield pd.DataFrame(out, columns=["app_key", "execution_id", "node_id", "ordinal", "column_text", "data_type"])
+
+
+def scan_columns(nodes: DataFrame) -> DataFrame:
+    """Columns of file scans, from their logged ``ReadSchema``. A schema that
+    Spark shortened in the log is left out, as its columns are not known."""
+    known = nodes.filter(F.col("read_schema").startswith("struct<") & F.col("read_schema").endswith(">")
+                         & ~F.col("read_schema").contains("...") & (F.length("read_schema") > 8))
+    return known.select("app_key", "execution_id", "node_id", "read_schema").mapInPandas(
+        _split_schema, "app_key string, execution_id long, node_id int, ordinal int, column_text string, data_type string")
+
+
 def _nonempty(c: Column) -> Column:
     return F.when(c != "", c)
 
@@ -345,7 +417,7 @@ def plan_json(plan_nodes: DataFrame) -> DataFrame:
     embed their children's text, grouped by parent (bounded by fan-out).
     """
     keys = ["execution_id"]
-    nodes = plan_nodes.select(
+    nodes = with_paths(plan_nodes).select(
         *keys, "node_id", "parent_id",
         F.to_json(F.struct(
             F.col("node_class").alias("nodeName"), F.col("node_class").alias("simpleString"),
@@ -353,7 +425,7 @@ def plan_json(plan_nodes: DataFrame) -> DataFrame:
                 F.lit("nodeId"), F.col("node_id").cast("string"), F.lit("edgeKind"), F.col("edge_kind"),
                 F.lit("nodeClass"), F.col("node_class"), F.lit("relationClass"), F.col("relation_class"),
                 F.lit("catalogDb"), F.col("catalog_db"), F.lit("catalogTable"), F.col("catalog_table"),
-                F.lit("path"), F.col("path"), F.lit("jdbcUrl"), F.col("jdbc_url"),
+                F.lit("path"), F.col("path"), F.lit("paths"), F.to_json("paths"), F.lit("jdbcUrl"), F.col("jdbc_url"),
                 F.lit("jdbcTable"), F.col("jdbc_table")), lambda k, v: v.isNotNull()).alias("metadata"),
         )).alias("head"),
     )
@@ -425,7 +497,7 @@ def write_event_log(lines: DataFrame, root: str) -> str:
 
 def lineage_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Executions and plan nodes read back from an event-log folder."""
-    events = read_events(spark, root)
+    events = written_events(spark, root)
     executions = sql_executions(events)
     nodes = plan_nodes(sql_starts(events).filter(F.col("plan_json").isNotNull()))
     return {"events": events, "executions": executions, "plan_nodes": nodes}

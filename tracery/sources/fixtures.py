@@ -9,6 +9,7 @@ placeholders name either a base table or an earlier fixture ``fx_<name>``.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +20,7 @@ select o_orderkey as execution_id,
        'app_' || cast(o_custkey % 50 as string) as app_name,
        'local[' || cast(1 + o_custkey % 50 % 4 as string) || ']' as master,
        'save at job_' || cast(o_orderkey % 37 as string) as description,
-       o_orderdate as started_at,
+       case when o_orderkey % 211 = 5 then null else o_orderdate end as started_at,
        case when o_custkey % 50 = 49 then null
             when o_custkey % 50 % 10 < 3 then 'hdfs://stagcluster'
             else 'hdfs://prodcluster' end as default_fs,
@@ -57,7 +58,8 @@ select execution_id, 0 as node_id, cast(null as int) as parent_id, 'root' as edg
        case when k = 3 then 'jdbc:sqlserver://;serverName=dbhost'
             when k = 9 then 'jdbc:mysql://dbhost:3306/shop' end as jdbc_url,
        case when k = 3 then db || '.dbo.' || tbl
-            when k = 9 and execution_id % 20 = 9 then db || '.' || tbl end as jdbc_table
+            when k = 9 and execution_id % 20 = 9 then db || '.' || tbl end as jdbc_table,
+       case when k <= 2 then split('hdfs://prodcluster/out/' || db || '/' || tbl, ',') end as paths
 from roots
 union all
 select execution_id, node_id, 0 as parent_id,
@@ -72,7 +74,14 @@ select execution_id, node_id, 0 as parent_id,
             when ck <= 2 then 'hdfs://prodcluster/warehouse/hive/' || db || '.db/' || tbl end as path,
        case when ck = 3 then 'jdbc:mysql://dbhost:3306/shop'
             when ck = 4 then 'jdbc:sqlserver://;serverName=dbhost' end as jdbc_url,
-       case when ck in (3, 4) and sk % 25 <> 0 then db || '.' || tbl end as jdbc_table
+       case when ck in (3, 4) and sk % 25 <> 0 then db || '.' || tbl end as jdbc_table,
+       case when ck = 0 and sk % 10 = 0 then split('hdfs://prodcluster/archive/' || db || '/' || tbl, ',')
+            when ck = 0 and sk % 10 = 1 then split('hdfs://prodcluster/data/' || db || '/' || tbl || '.csv'
+                                                   || ',hdfs://prodcluster/more/' || tbl, ',')
+            when ck = 0 then split('hdfs://prodcluster/data/' || db || '/' || tbl || '.csv', ',')
+            when ck = 1 and sk % 7 = 0 then split('hdfs://prodcluster/warehouse/hive/' || db || '.db/' || tbl
+                                                  || ',hdfs://prodcluster/warehouse/hive/' || db || '.db/' || tbl || '_b', ',')
+            when ck <= 2 then split('hdfs://prodcluster/warehouse/hive/' || db || '.db/' || tbl, ',') end as paths
 from kids where rk <> 8
 union all
 select execution_id, node_id + 100, node_id as parent_id, 'cached' as edge_kind,
@@ -84,19 +93,20 @@ select execution_id, node_id + 100, node_id as parent_id, 'cached' as edge_kind,
        case when sk % 5 = 3 then tbl end as catalog_table,
        case when sk % 5 = 0 then 'hdfs://prodcluster/data/' || db || '/' || tbl || '.csv' end as path,
        case when sk % 5 = 1 then 'jdbc:mysql://dbhost:3306/shop' end as jdbc_url,
-       case when sk % 5 = 1 then db || '.' || tbl end as jdbc_table
+       case when sk % 5 = 1 then db || '.' || tbl end as jdbc_table,
+       case when sk % 5 = 0 then split('hdfs://prodcluster/data/' || db || '/' || tbl || '.csv', ',') end as paths
 from kids where rk <> 8 and ck = 6
 union all
 select execution_id, node_id + 200, node_id + 100 as parent_id, 'cached' as edge_kind,
        'FileSourceScanExec' as node_class, 'HadoopFsRelation' as relation_class,
        cast(null as string) as catalog_db, cast(null as string) as catalog_table,
        'hdfs://prodcluster/nested/' || db || '/' || tbl as path,
-       cast(null as string) as jdbc_url, cast(null as string) as jdbc_table
+       cast(null as string) as jdbc_url, cast(null as string) as jdbc_table,
+       split('hdfs://prodcluster/nested/' || db || '/' || tbl, ',') as paths
 from kids where rk <> 8 and ck = 6 and sk % 5 = 2
 """,
     "plan_columns": """
-with ords as (select * from (values (0), (1), (2)) as v(ordinal)),
-types as (select * from (values (0, 'void'), (1, 'date'), (2, 'interval'), (3, 'timestamp'),
+with types as (select * from (values (0, 'void'), (1, 'date'), (2, 'interval'), (3, 'timestamp'),
   (4, 'tinyint'), (5, 'binary'), (6, 'boolean'), (7, 'int'), (8, 'bigint'), (9, 'double'),
   (10, 'float'), (11, 'smallint'), (12, 'string'), (13, 'decimal(12,2)'), (14, 'array<int>')) as t(tk, data_type)),
 kids as (
@@ -110,18 +120,18 @@ select execution_id,
             when ck = 6 then node_id + 100 else node_id end as node_id,
        cast(ordinal as int) as ordinal,
        'c' || cast((pk + ordinal) % 20 as string) as column_text, data_type
-from kids cross join ords join types on tk = (sk + ordinal) % 15
+from (select *, {ordinals} as ordinal from kids) kids3 join types on tk = (sk + ordinal) % 15
 where rk <> 8 and ck <= 6 and not (ck = 6 and sk % 5 = 4)
 union all
 select o_orderkey as execution_id, 0 as node_id, cast(ordinal as int) as ordinal,
        'c' || cast((o_custkey + ordinal * 3) % 25 as string) || '#' || cast(o_orderkey + ordinal as string) as column_text,
        cast(null as string) as data_type
-from {orders} cross join ords
+from (select *, {ordinals} as ordinal from {orders}) orders3
 where o_orderkey % 97 <> 0 and o_orderkey % 10 <= 2
 """,
     "runs": """
 select execution_id, app_name, master, started_at, run_no,
-       cast(row_number() over (partition by app_name, run_no order by started_at, execution_id) - 1 as bigint) as run_execution_id
+       cast(row_number() over (partition by app_name, run_no order by started_at nulls first, execution_id) - 1 as bigint) as run_execution_id
 from (select e.*, case when started_at < timestamp '1998-07-01 00:00:00' then 1 else 2 end as run_no
       from {fx_executions} e) x
 """,
@@ -144,7 +154,12 @@ from {fx_executions} where cast(substring(app_name, 5) as int) % 6 = 0 group by
 # Run boundary of the two-run catalog scenario (fixed value of the fixture).
 RUN_SPLIT = "1998-07-01 00:00:00"
 
-_PLACEHOLDER = re.compile(r"\{(\w+)\}")
+# Three rows per row: the engines name the same function differently.
+ORDINALS = "{ordinals}"
+SPARK_ORDINALS = "explode(array(0, 1, 2))"
+DUCKDB_ORDINALS = "unnest([0, 1, 2])"
+
+_PLACEHOLDER = re.compile(r"\{(?!ordinals\})(\w+)\}")
 
 
 def dependencies(name: str) -> list[str]:
@@ -204,7 +219,7 @@ class Fixtures:
                     refs[ref] = self[ref[3:]]
                 else:
                     refs[ref] = self.base(ref)
-            self._frames[name] = self.spark.sql(FIXTURE_SQL[name], **refs)
+            self._frames[name] = self.spark.sql(FIXTURE_SQL[name].replace(ORDINALS, SPARK_ORDINALS), **refs)
         return self._frames[name]
 
     @property
@@ -231,7 +246,7 @@ class Fixtures:
         key = (app, self.sf_dir, name)
         table = _WRITTEN.get(key)
         if table is None or not self.spark.catalog.tableExists(table):
-            table = f"tracery_{name}_{abs(hash((app, self.sf_dir))) % 10**10}"
+            table = f"tracery_{name}_{uuid.uuid4().hex}"
             frame = self.derived(name) if name != "runs" else self._runs_from_written()
             writer = frame.write.mode("overwrite").format("parquet").option("path", scratch_path(self.spark, name))
             if name in BUCKETED:
@@ -288,6 +303,6 @@ def duckdb_ctes(names: list[str]) -> str:
         visit(name)
     parts = []
     for name in order:
-        text = _PLACEHOLDER.sub(lambda m: m.group(1), FIXTURE_SQL[name]).strip()
+        text = _PLACEHOLDER.sub(lambda m: m.group(1), FIXTURE_SQL[name].replace(ORDINALS, DUCKDB_ORDINALS)).strip()
         parts.append(f"fx_{name} as (\n{text}\n)")
     return "with " + ",\n".join(parts)
