@@ -17,9 +17,13 @@ How groups stay small in every task:
    from the confirmed links. That finds a group of near copies in as many
    pairs as it has members.
 3. What is left are buckets that hold several components. Their pairs across
-   components are compared by signature, in blocks of at most ``BLOCK`` rows a
-   side, and only pairs within ``DISTANCE`` are confirmed on the sets. So no
-   link is lost, and pairs inside a component are never formed.
+   components are compared in blocks of at most ``BLOCK`` rows a side.
+   A pair is given by its first shared key only, and only if it is within
+   ``DISTANCE`` and its parity sketches allow a link: each element that just
+   one of two sets has flips one of ``PARITY`` bits, so the sketches of a
+   linked pair never differ in more bits than the sets may in elements. What
+   is left is confirmed on the sets. So no link is lost, pairs inside a
+   component are never formed, and near misses do not leave their task.
 
 Components come from hooking every root to its smallest neighbour and pointer
 jumping, on written tables; nothing is collected but row counts.
@@ -47,6 +51,7 @@ from tracery.session import scratch_path
 
 SYMBOLS, CHUNKS, DISTANCE = 64, 16, 29
 BITS = 16
+PARITY = 2048
 BLOCK = 2048
 #: Further pivots tried in buckets that hold several components.
 PIVOTS = 3
@@ -118,16 +123,23 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, digest binary, sig binary")
 
 
+def parity_sketch(items: np.ndarray) -> bytes:
+    """One bit per residue of the items' hashes: whether an odd number have it."""
+    return np.packbits(np.bincount(items % np.uint64(PARITY), minlength=PARITY).astype(np.uint8) & 1).tobytes()
+
+
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``id, items``: distinct shingle hashes of each document."""
+    """``id, items, sketch``: distinct shingle hashes of each document and
+    their parity sketch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
-            found = [np.unique(s).view(np.int64) for s in shingle_sets(utf8(b.column("text")), words)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int64()))],
-                                             names=["id", "items"])
+            found = [np.unique(s) for s in shingle_sets(utf8(b.column("text")), words)]
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
+                pa.array([parity_sketch(s) for s in found], pa.binary())], names=["id", "items", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "id long, items array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "id long, items array<long>, sketch binary")
 
 
 class _Tables:
@@ -144,16 +156,28 @@ class _Tables:
 
 
 def bucketed(classes: DataFrame) -> DataFrame:
-    """``key, id``: one row per key of each class."""
+    """``key, place, id``: one row per key of each class; ``place`` numbers
+    the key's chunk and left-out symbol."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
             keys = chunk_keys(sig).view(np.int64)
             ids = np.repeat(np.asarray(b.column("id")), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(ids)], names=["key", "id"])
+            place = np.tile(np.arange(keys.shape[1], dtype=np.int16), len(sig))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(place), pa.array(ids)],
+                                             names=["key", "place", "id"])
 
-    return classes.select("id", "sig").mapInArrow(run, "key long, id long")
+    return classes.select("id", "sig").mapInArrow(run, "key long, place short, id long")
+
+
+def first_place(differs: np.ndarray) -> np.ndarray:
+    """The first key that two signatures share, from their unequal symbols."""
+    width = SYMBOLS // CHUNKS
+    chunks_ = differs.reshape(len(differs), CHUNKS, width)
+    errors = chunks_.sum(2)
+    chunk = np.argmax(errors <= 1, 1)
+    return chunk * width + np.argmax(chunks_[np.arange(len(differs)), chunk], 1)
 
 
 def within_distance(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -173,7 +197,8 @@ def within_distance(pairs: DataFrame, classes: DataFrame, percent: int) -> DataF
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sets have ``100 * common >= percent * all``."""
-    joined = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
+    items = sets.select("id", "items")
+    joined = pairs.join(items.toDF("a", "items_a"), "a").join(items.toDF("b", "items_b"), "b")
     common = F.size(F.array_intersect("items_a", "items_b"))
     return joined.select("a", "b", common.alias("common"), (F.size("items_a") + F.size("items_b")).alias("both")).filter(
         100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
@@ -209,28 +234,31 @@ def relabelled(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     return rows.join(side, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
 
 
-def across_components(rows: DataFrame, classes: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def across_components(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """``a, b``: pairs of different components in one bucket, near by signature.
 
-    ``rows``: ``key, id, comp`` of buckets with several components. A bucket of
-    more than ``block`` rows is cut into parts by hash, and each two parts meet
-    in a task of their own.
+    ``rows``: ``key, place, id, comp`` of buckets with several components. A
+    bucket of more than ``block`` rows is cut into parts by hash, and each two
+    parts meet in a task of their own. A pair that shares several keys is given
+    by the first of them only.
     """
     sized = rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "key")
     parts = F.ceil(F.col("rows") / block).cast("int")
     part = F.pmod(F.xxhash64("id", F.lit(1)), parts).cast("int")
-    dealt = sized.select("key", "id", "comp", part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    dealt = sized.select("key", "place", "id", "comp", part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
     dealt = dealt.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("group"),
-                         "key", "part", "id", "comp", (F.col("part") == F.col("other")).alias("same"))
-    dealt = dealt.join(classes.select("id", "n", "sig"), "id")
+                         "place", "part", "id", "comp", (F.col("part") == F.col("other")).alias("same"))
+    dealt = dealt.join(classes.select("id", "n", "sig").join(sets.select("id", "sketch"), "id"), "id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def near(table: pa.Table) -> pa.RecordBatch:
-            group, ids, comp, part, n = (np.asarray(table.column(c)) for c in ("group", "id", "comp", "part", "n"))
+            group, ids, comp, part, n, place = (
+                np.asarray(table.column(c)) for c in ("group", "id", "comp", "part", "n", "place"))
             same = np.asarray(table.column("same"))
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, PARITY // 64)
             found = []
             left = np.arange(len(group))
             step = 1
@@ -244,8 +272,15 @@ def across_components(rows: DataFrame, classes: DataFrame, percent: int, block:
                     ok = (comp[i] != comp[j]) & ((part[i] != part[j]) | same[i])
                     ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
                     i, j = i[ok], j[ok]
-                    close = (sig[i] != sig[j]).sum(1) <= DISTANCE
-                    i, j = ids[i[close]], ids[j[close]]
+                    differs = sig[i] != sig[j]
+                    close = np.flatnonzero(differs.sum(1) <= DISTANCE)
+                    at = first_place(differs[close])
+                    close = close[(place[i[close]] == at) & (place[j[close]] == at)]
+                    i, j = i[close], j[close]
+                    # Sets with ``100 * common >= percent * all`` differ in at most this many elements.
+                    apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1, dtype=np.int64)
+                    ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
+                    i, j = ids[i[ok]], ids[j[ok]]
                     found.append(np.unique(np.stack([np.maximum(i, j), np.minimum(i, j)], 1), axis=0))
                 step += 1
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
@@ -301,17 +336,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         new = components(relabelled(relabelled(links, roots, "a"), roots, "b"), tables)
         roots = tables.cut(relabelled(roots, new, "root").unionByName(new))
 
-    def check(pairs: DataFrame) -> None:
-        grow(tables.cut(confirmed(tables.cut(within_distance(pairs, classes, percent)), sets, percent)))
+    def check(near: DataFrame) -> None:
+        grow(tables.cut(confirmed(tables.cut(near), sets, percent)))
 
     def unfinished(rows: DataFrame) -> DataFrame:
-        """``key, id, comp`` of the buckets that hold several components."""
-        labelled = relabelled(rows.select("key", "id", F.col("id").alias("comp")), roots, "comp")
+        """``key, place, id, comp`` of the buckets that hold several components."""
+        labelled = relabelled(rows.select("key", "place", "id", F.col("id").alias("comp")), roots, "comp")
         spread = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
         return tables.cut(labelled.join(spread.select("key"), "key", "left_semi"))
 
     grow(same_document(every, classes))
-    check(buckets.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
+    stars = buckets.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    check(within_distance(stars, classes, percent))
     rest = unfinished(buckets)
     for salt in range(PIVOTS):
         if rest.isEmpty():
@@ -319,11 +355,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         order = F.struct("id", "comp") if not salt else F.struct(F.xxhash64("id", "key", F.lit(salt)), "id", "comp")
         pivot = rest.groupBy("key").agg(F.max(order).alias("p")).select(
             "key", F.col("p.id").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
-        check(rest.join(pivot, "key").filter("comp <> pivot_comp").select(
-            F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct())
+        stars = rest.join(pivot, "key").filter("comp <> pivot_comp").select(
+            F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
+        check(within_distance(stars, classes, percent))
         rest = unfinished(rest)
     if not rest.isEmpty():
-        check(tables.cut(across_components(rest, classes, percent)))
+        check(across_components(rest, classes, sets, percent))
     # Every document points at its class, every class at its component's root.
     of_class = relabelled(classes.select("digest", F.col("id").alias("root")), roots, "root")
     found = every.join(of_class, "digest", "left").select(
