@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 
-from tracery.functions import rules as R
 from tracery.sources.fixtures import FIXTURE_SQL, duckdb_ctes
 
 
@@ -18,9 +17,20 @@ def _q(values) -> str:
     return ", ".join("'" + v + "'" for v in values)
 
 
-TRACKED = _q(R.TRACKED_CLASSES)
-SINKS = _q(R.QUERY_SINKS)
-RELS = _q(R.RELATION_CLASSES)
+# Fixed values, written out here so that a wrong constant in the DataFrame code shows.
+TRACKED = _q((
+    "SaveIntoDataSourceCommand", "CreateDataSourceTableAsSelectCommand", "CreateHiveTableAsSelectCommand",
+    "InsertIntoHiveTable", "HiveTableRelation", "LogicalRelation", "InsertIntoHadoopFsRelationCommand",
+    "InMemoryRelation"))
+SINKS = _q(("InsertIntoHadoopFsRelationCommand", "SaveIntoDataSourceCommand", "InsertIntoHiveTable",
+            "CreateHiveTableAsSelectCommand"))
+RELS = _q(("HiveTableRelation", "LogicalRelation", "InMemoryRelation"))
+TYPE_MAP = (
+    ("void", "NullType", "Null"), ("date", "DateType", "Date"), ("interval", "DateType", "Calendar"),
+    ("timestamp", "TimeType", "Timestamp"), ("tinyint", "BytesType", "Byte"), ("binary", "BytesType", "Binary"),
+    ("boolean", "BooleanType", "Boolean"), ("int", "NumberType", "Integer"), ("bigint", "NumberType", "Long"),
+    ("double", "NumberType", "Double"), ("float", "NumberType", "Float"), ("smallint", "NumberType", "Short"),
+    ("string", "StringType", "String"))
 
 
 def _jdbc_platform(url: str) -> str:
@@ -117,9 +127,9 @@ select execution_id, pass, node_id, leaf_id, sub, node_class, env, col_node,
        case when sub = 0 then {_qualified('catalog_db', 'catalog_table')}
             when file_path then coalesce(nullif(input_override, ''), path)
             when hive_path then hive_name when is_jdbc then jdbc_table end as name,
-       case when hive_path and hive_name is null then '{R.FAIL_HIVE_PATH_SHORT}'
-            when is_jdbc and jdbc_table is null then '{R.FAIL_READ_NO_TABLE}'
-            when is_jdbc and jplat is null then '{R.FAIL_URL_NO_PLATFORM}' end as fail_reason,
+       case when hive_path and hive_name is null then 'hive path with fewer than two segments'
+            when is_jdbc and jdbc_table is null then 'jdbc read without dbtable'
+            when is_jdbc and jplat is null then 'jdbc url without platform' end as fail_reason,
        coalesce(sub = 0 or is_file or is_jdbc, false) as records_schema,
        coalesce(file_path, false) as file_record
 from {p}items1""",
@@ -142,21 +152,21 @@ select execution_id, pass, node_id, leaf_id, sub, env, col_node, file_path as fi
        case when hive_sink or file_catalog then {_qualified('root_catalog_db', 'root_catalog_table')}
             when file_path then coalesce(nullif(output_override, ''), root_path)
             when jdbc then root_jdbc_table end as name,
-       case when jdbc and root_jdbc_url is null then '{R.FAIL_SAVE_NO_URL}'
-            when jdbc and root_jdbc_table is null then '{R.FAIL_SAVE_NO_TABLE}'
-            when jdbc and jplat is null then '{R.FAIL_URL_NO_PLATFORM}' end as fail_reason
+       case when jdbc and root_jdbc_url is null then 'jdbc save without url'
+            when jdbc and root_jdbc_table is null then 'jdbc save without dbtable'
+            when jdbc and jplat is null then 'jdbc url without platform' end as fail_reason
 from {p}sinks0""",
         f"{p}sinks": f"""
 select *, case when platform is not null and name is not null and fail_reason is null
                then {_urn('platform', 'name', 'env')} end as urn
 from {p}sinks1""",
         f"{p}fail_all": f"""
-select execution_id, -2 as pass, 0 as node_id, -1 as leaf_id, 0 as sub, '{R.FAIL_NO_DEFAULT_FS}' as fail_reason
+select execution_id, -2 as pass, 0 as node_id, -1 as leaf_id, 0 as sub, 'missing default filesystem' as fail_reason
 from {p}tracked where default_fs is null
 union all
 select execution_id, pass, node_id, leaf_id, sub, fail_reason from {p}sinks where fail_reason is not null
 union all
-select s.execution_id, s.pass, s.node_id, s.leaf_id, s.sub, '{R.FAIL_OUTPUT_NO_EXPR_ID}'
+select s.execution_id, s.pass, s.node_id, s.leaf_id, s.sub, 'output column without expression id'
 from {p}sinks s where s.file_record and exists (
   select 1 from {c} pc where pc.execution_id = s.execution_id and pc.node_id = 0 and strpos(pc.column_text, '#') = 0)
 union all
@@ -187,7 +197,7 @@ left join (select execution_id, string_agg(urn, '|' order by pass, node_id, leaf
                   list(urn order by pass, node_id, leaf_id, sub) as lst, count(*) as n
            from {p}outputs group by execution_id) o on o.execution_id = a.execution_id""",
         f"{p}job_info": f"""
-select execution_id, {_job(_flow(), 'job_number')} as job_urn, description as name, '{R.JOB_TYPE}' as type,
+select execution_id, {_job(_flow(), 'job_number')} as job_urn, description as name, 'sparkJob' as type,
        strftime(started_at, '%a %b %d %H:%M:%S UTC %Y') as started_at, cast(job_number as varchar) as app_id, app_name
 from {p}alive""",
         f"{p}col_types": f"""
@@ -216,10 +226,10 @@ select d.execution_id, d.dataset, d.env, pc.ordinal,
 from {p}file_ds d join {c} pc on pc.execution_id = d.execution_id and pc.node_id = d.col_node""",
         f"{p}fields": f"""
 select f.execution_id, f.dataset, f.env, f.ordinal, f.column_name as field_path,
-       coalesce(m.ft, '{R.UNKNOWN_TYPE[0]}') as field_type, coalesce(m.nt, '{R.UNKNOWN_TYPE[1]}') as native_type
+       coalesce(m.ft, 'NullType') as field_type, coalesce(m.nt, 'New Column') as native_type
 from {p}file_cols f
 left join {p}col_types t on t.execution_id = f.execution_id and t.column_name = f.column_name
-left join (values {', '.join(f"('{a}', '{b}', '{c2}')" for a, b, c2 in R.TYPE_MAP)}) m(dt, ft, nt) on m.dt = t.data_type""",
+left join (values {', '.join(f"('{a}', '{b}', '{c2}')" for a, b, c2 in TYPE_MAP)}) m(dt, ft, nt) on m.dt = t.data_type""",
         f"{p}schema_meta": f"""
 select d.execution_id, d.dataset, d.env, {_urn("'hdfs'", 'd.dataset', 'd.env')} as urn,
        d.dataset || '_schema' as schema_name, 1 as version, '' as hash, 'urn:li:dataPlatform:hdfs' as platform,

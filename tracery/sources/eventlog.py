@@ -264,6 +264,8 @@ UNLISTED = "(more paths, not in the event log)"
 FLAT_SCHEMA = ("app_key string, execution_id long, node_id int, parent_id int, in_cache boolean, "
                "node_name string, simple string, meta_json string")
 _WRAPPER_PREFIXES = tuple(WRAPPERS)
+# Plan nodes held per output batch, beyond the plan at hand.
+NODES_PER_BATCH = 20_000
 
 
 def _flatten_plans(batches):
@@ -279,6 +281,10 @@ def _flatten_plans(batches):
     import pandas as pd
 
     cols = ("app_key", "execution_id", "node_id", "parent_id", "in_cache", "node_name", "simple", "meta_json")
+
+    def frame(out):
+        return pd.DataFrame(out, columns=list(cols)).astype({"node_id": "Int32", "parent_id": "Int32"})
+
     for pdf in batches:
         out = {c: [] for c in cols}
         for app, ex, text in zip(pdf["app_key"], pdf["execution_id"], pdf["plan_json"]):
@@ -301,7 +307,10 @@ def _flatten_plans(batches):
                 below = in_cache or name.startswith("InMemoryTableScan")
                 for child in reversed(node.get("children") or []):
                     stack.append((child, me, below))
-        yield pd.DataFrame(out, columns=list(cols)).astype({"node_id": "Int32", "parent_id": "Int32"})
+            if len(out["node_id"]) >= NODES_PER_BATCH:
+                yield frame(out)
+                out = {c: [] for c in cols}
+        yield frame(out)
 
 
 def plan_nodes(starts: DataFrame) -> DataFrame:
