@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracery.llm.common import crc_bucket, with_fields
+from tracery.llm.common import crc_bucket, pieces, with_fields
 
 LABEL_SPLIT = 5
 SAMPLE = 10_000
@@ -41,27 +42,22 @@ FEATURES = 2048
 VOTERS = 96
 PREFIXES = (3, 4, 5, 6)
 HASH_BITS = 24
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 _WORD = re.compile(r"[^\W\d_]+").findall
 
-_CODES: dict[str, tuple[int, ...]] = {}
-
-
 def codes(word: str) -> tuple[int, ...]:
     """Hashed features of a word: the word itself and its beginnings."""
-    found = _CODES.get(word)
-    if found is None:
-        if len(_CODES) >= CACHE_WORDS:
-            _CODES.clear()
-        names = [f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)]
-        found = _CODES[word] = tuple(zlib.crc32(n.encode()) >> (32 - HASH_BITS) for n in names)
-    return found
+    names = [f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)]
+    return tuple(zlib.crc32(n.encode()) >> (32 - HASH_BITS) for n in names)
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of a text and their counts."""
-    flat = [c for w in _WORD((text or "").lower()) for c in codes(w)]
-    return np.unique(np.array(flat, np.int64), return_counts=True)
+    words = Counter(_WORD((text or "").lower()))
+    flat = [(c, n) for w, n in words.items() for c in codes(w)]
+    code, count = np.array(flat, np.int64).reshape(-1, 2).T
+    distinct, place = np.unique(code, return_inverse=True)
+    return distinct, np.bincount(place, count, len(distinct)).astype(np.int64)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, split: int = LABEL_SPLIT) -> DataFrame:
@@ -76,7 +72,7 @@ def select_features(rows: DataFrame, n: int = FEATURES) -> list[int]:
     """The features whose presence separates the labels best (chi-square)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, "text"):
             toxic = np.asarray(b.column("toxic"))
             found = [features(t)[0] for t in b.column("text").to_pylist()]
             for label in (0, 1):
@@ -184,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
     known = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(chosen)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, "text"):
             at, often = [], []
             for text in b.column("text").to_pylist():
                 code, n = features(text)
@@ -224,7 +220,7 @@ def score_documents(docs: DataFrame, classifier: Classifier, keep: tuple[str, ..
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for b in batches:
+        for b in pieces(batches, "text"):
             score = pa.array([model.score(t) for t in b.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), score], names=[*keep, "score"])
 
@@ -238,7 +234,7 @@ def reject(docs: DataFrame, classifier: Classifier, threshold: float = 0.5) -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for b in batches:
+        for b in pieces(batches, "text"):
             yield b.filter(pa.array([model.score(t) < threshold for t in b.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

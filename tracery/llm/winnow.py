@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracery.llm.common import partitions, slice_bounds, slice_of, with_fields
+from tracery.llm.common import partitions, pieces, slice_bounds, slice_of, with_fields
 
 K = 12
 WINDOW = 24
@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
     schema = with_fields(docs.select("doc_id").schema, "hashes array<long>, positions array<long>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, "text"):
             found = [winnow(t or "", k, window) for t in b.column("text").to_pylist()]
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
@@ -171,7 +171,7 @@ def successor_report(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataF
             return (doc_id, n, sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), render(hashes, positions),
                     render(*other), likeness(own, np.unique(other[0])), likeness(own, follower[5]))
 
-        for b in batches:
+        for b in pieces(batches, "text"):
             kind = b.column("doc_id").type
             for doc_id, text, s, tail in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "slice", "tail"))):
                 if held is not None and held[0] != s:
