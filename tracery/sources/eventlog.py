@@ -22,6 +22,7 @@ is; plain physical plans are mapped by node name (best effort, see
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,7 +109,10 @@ def _unzstd(batches):
 
 
 def _folders(path: str) -> int:
-    """Number of path components below the file system's root."""
+    """Number of path components below the file system's root. A relative
+    path is taken below the driver's working folder, as Spark's local files are."""
+    if not re.match(r"^([A-Za-z][A-Za-z0-9+.-]*:|/)", path):
+        path = os.path.abspath(path)
     return len([p for p in re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).split("/") if p])
 
 
@@ -119,9 +123,6 @@ def read_events(spark: SparkSession, root: str) -> DataFrame:
     are decompressed per file. The application key is the path's first
     component below ``root``. A log in another codec raises an error.
     """
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    base = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).resolvePath(base).toString()
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     for suffix in OTHER_SUFFIXES:
         found = binary.option("pathGlobFilter", "*" + suffix).load(root).select("path").head(1)
@@ -135,7 +136,7 @@ def read_events(spark: SparkSession, root: str) -> DataFrame:
               .select("path", "content").mapInPandas(_unzstd, "path string, value string"))
     parts = F.filter(F.split(F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda p: p != "")
     return plain.unionByName(packed).select(
-        F.get(parts, F.lit(_folders(base))).alias("app_key"),
+        F.get(parts, F.lit(_folders(root))).alias("app_key"),
         F.get_json_object("value", "$.Event").alias("event"),
         F.col("value").alias("json"),
     ).filter(F.col("event").isin(*KINDS))
