@@ -13,8 +13,8 @@ How groups stay small in every task:
 
 1. Documents with equal sets are one class; only classes go on.
 2. In each bucket of equal keys every class is paired with one pivot (the
-   smallest id, then the largest, then one by hash), and components are taken
-   from the confirmed links. That finds a group of near copies in as many
+   smallest id, then the largest, then one by hash) if they share several
+   buckets, and components are taken from the confirmed links. That finds a group of near copies in as many
    pairs as it has members.
 3. What is left are buckets that hold several components. Their pairs across
    components are compared in blocks of at most ``BLOCK`` rows a side.
@@ -55,6 +55,8 @@ PARITY = 2048
 BLOCK = 2048
 #: Further pivots tried in buckets that hold several components.
 PIVOTS = 3
+#: Buckets in common from which a pivot is tried; missing one only leaves work for step 3.
+SHARED_BUCKETS = 4
 _RNG = np.random.default_rng(20240229)
 _XOR = _RNG.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -234,6 +236,13 @@ def relabelled(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     return rows.join(side, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
 
 
+def stars(rows: DataFrame, pivot: str) -> DataFrame:
+    """``a, b``: each id with a pivot that it shares several buckets with, as
+    near copies do. Other pairs are left to ``across_components``."""
+    return rows.select(F.greatest("id", pivot).alias("a"), F.least("id", pivot).alias("b")).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= SHARED_BUCKETS).select("a", "b")
+
+
 def across_components(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """``a, b``: pairs of different components in one bucket, near by signature.
 
@@ -346,18 +355,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return tables.cut(labelled.join(spread.select("key"), "key", "left_semi"))
 
     grow(same_document(every, classes))
-    stars = buckets.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
-    check(within_distance(stars, classes, percent))
+    check(within_distance(stars(buckets.filter("id <> first"), "first"), classes, percent))
     rest = unfinished(buckets)
     for salt in range(PIVOTS):
         if rest.isEmpty():
             break
-        order = F.struct("id", "comp") if not salt else F.struct(F.xxhash64("id", "key", F.lit(salt)), "id", "comp")
+        order = F.struct("id", "comp") if not salt else F.struct(F.xxhash64("id", F.lit(salt)), "id", "comp")
         pivot = rest.groupBy("key").agg(F.max(order).alias("p")).select(
             "key", F.col("p.id").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
-        stars = rest.join(pivot, "key").filter("comp <> pivot_comp").select(
-            F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
-        check(within_distance(stars, classes, percent))
+        check(within_distance(stars(rest.join(pivot, "key").filter("comp <> pivot_comp"), "pivot"), classes, percent))
         rest = unfinished(rest)
     if not rest.isEmpty():
         check(across_components(rest, classes, sets, percent))
