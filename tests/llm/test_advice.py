@@ -5,7 +5,7 @@ import pytest
 
 from tests.llm import brute
 from tests.llm.conftest import pairs
-from tracery.llm import substring_dedup
+from tracery.llm import substring_dedup, warc
 
 
 @pytest.fixture(scope="module")
@@ -34,3 +34,22 @@ def test_no_suffix_array_takes_a_crowded_gram(crowded):
     assert np.unique(grams, return_counts=True)[1].max() <= 5 * 20
     strings = {r.range for r in asked if r.range >= 3}
     assert strings == {3, 4, 5}
+
+
+LINKS = [
+    ('<a href="/x">', ["/x"]), ("<a href='/x'>", ["/x"]), ("<a href=/x>", ["/x"]), ('<a href = "/x">', ["/x"]),
+    ('<a data-href="/y" href="/x">', ["/x"]), ("<A class=b HREF\n=\n'/x y'>t</A>", ["/x y"]),
+    ('<a href="/p?a=1&amp;b=2&quot;">', ['/p?a=1&b=2"']), ("<a href=/p?a=1&amp;b=2 class=c>", ["/p?a=1&b=2"]),
+    ('<a title=" href=/no" href="/x">', ["/x"]), ('<a title="a > b" href="/x">', ["/x"]), ('<a download href="/x">', ["/x"]),
+    ('<a href="/1" href="/2">', ["/1"]), ('<a href="it\'s">', ["it's"]), ("<a href=''>", [""]), ('<abbr href="/no">', []),
+    ('<a data-href="/no">', []), ("<a name=top>", []), ('<a class="b"href="/x">', ["/x"]), ("<a href>x</a>", []),
+    ('<a hrefs="/no">', []), ("<a href=/1><a href='/2'> <a\thref=\"/3\">", ["/1", "/2", "/3"]), (None, []),
+]
+
+
+def test_links_of_every_written_form(spark):
+    pages = spark.createDataFrame([(i, "http://h/", h) for i, (h, _) in enumerate(LINKS)],
+                                  "page_id long, url string, html string")
+    rows = warc.derivatives(warc.responses(pages)).filter("warc_type = 'metadata'").collect()
+    got = {r.page_id: [x[len("outlink: "):] for x in r.block.split("\r\n") if x.startswith("outlink: ")] for r in rows}
+    assert [(LINKS[i][0], got[i]) for i in range(len(LINKS))] == LINKS

@@ -13,7 +13,12 @@ title or links has a metadata record without those fields; a null ``page_id``
 gives records whose id is derived from an empty key; repeated pages give
 repeated records with equal ids; an empty table gives an empty table; other
 columns are ignored. Named character references outside ``ENTITIES`` and
-numeric ones stay as written.
+numeric ones stay as written, in titles, links and text.
+
+An out-link is the first ``href`` attribute of an ``a`` element, with double
+quotes, single quotes or none and with or without spaces around ``=``; names
+that only end in ``href`` are other attributes. The SQL oracle reads the
+double-quoted form alone, the only one on the test pages.
 """
 
 from __future__ import annotations
@@ -39,7 +44,15 @@ TEXT_STEPS = [
 ]
 SPACE_STEPS = [(f"[ \\t\\r\\f]*\\n{_GAP}*", "\n"), ("[ \\t\\r\\f]+", " ")]
 TITLE = "(?is)<title[^>]*>(.*?)</title"
+#: The oracle's links.
 LINK = "(?i)<a[ \\t\\r\\n\\f][^>]*?href=\"([^\"]*)\""
+_VALUE = f"{_GAP}*={_GAP}*(?:\"[^\"]*+\"|'[^']*+'|[^ \\t\\r\\n\\f>\"'][^ \\t\\r\\n\\f>]*+)"
+_NAME = "[^ \\t\\r\\n\\f>=/\"'][^ \\t\\r\\n\\f>=/]*+"
+#: An anchor up to its first ``href`` attribute, with the value in its quotes:
+#: other attributes are read as a whole, so that no value counts as a name.
+ANCHOR = (f"(?i)<a(?={_GAP}|/)(?:(?:{_GAP}|/)++|(?<=[ \\t\\r\\n\\f/\"'])(?!href(?:{_GAP}|=|/|>)){_NAME}(?:{_VALUE})?+"
+          f"|[\"'=][^ \\t\\r\\n\\f>=/]*+)*+(?<=[ \\t\\r\\n\\f/\"'])href{_GAP}*={_GAP}*"
+          f"(\"[^\"]*+\"|'[^']*+'|[^ \\t\\r\\n\\f>\"'][^ \\t\\r\\n\\f>]*+)")
 
 
 def _steps(column: Column, steps) -> Column:
@@ -63,6 +76,12 @@ def _line(column: Column) -> Column:
     return F.trim(F.regexp_replace(column, "[ \\t\\r\\n\\f]+", " "))
 
 
+def _link(value: Column) -> Column:
+    """A link from its attribute value as written."""
+    quoted = F.substring(value, 1, 1).isin('"', "'")
+    return _line(_entities(F.when(quoted, value.substr(F.lit(2), F.length(value) - 2)).otherwise(value)))
+
+
 def urn(*key: Column) -> Column:
     h = F.md5(F.concat_ws("|", *key))
     return F.concat(F.lit("<urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-3"),
@@ -98,7 +117,7 @@ def derivatives(source: DataFrame) -> DataFrame:
         urn(F.lit("conversion"), F.col("response_id")).alias("conversion_id"),
         plain_text(F.col("payload")).alias("text"),
         _line(_entities(F.regexp_extract("payload", TITLE, 1))).alias("title"),
-        F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), _line).alias("links"),
+        F.transform(F.regexp_extract_all("payload", F.lit(ANCHOR), F.lit(1)), _link).alias("links"),
         F.regexp_replace(F.col("http_headers"), "\\r\\n", F.lit(f"{CRLF}source-header: ")).alias("headers"),
         digest(F.col("payload")).alias("payload_digest"),
         digest(F.concat("http_headers", F.lit(CRLF + CRLF), "payload")).alias("block_digest"))
