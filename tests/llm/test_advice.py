@@ -2,10 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.conftest import pairs
-from tracery.llm import substring_dedup, warc
+from tracery.llm import secrets, substring_dedup, warc
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +54,27 @@ def test_links_of_every_written_form(spark):
     rows = warc.derivatives(warc.responses(pages)).filter("warc_type = 'metadata'").collect()
     got = {r.page_id: [x[len("outlink: "):] for x in r.block.split("\r\n") if x.startswith("outlink: ")] for r in rows}
     assert [(LINKS[i][0], got[i]) for i in range(len(LINKS))] == LINKS
+
+
+def test_threshold_keeps_recall_where_labels_look_alike(spark):
+    """Equal tokens with and without a keyword far off: most held out secrets score below one half."""
+    rng = np.random.default_rng(11)
+    token = lambda: "".join(rng.choice(list("abcdefghijABCDEFGHIJ0123456789"), 24)) + "7"
+    rows = [(i, f"token: {token()}" if i % 9 == 0 else f"seen {token()} here") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    net = secrets.train(docs, sample=60)
+    found = secrets.labelled_findings(docs, True).filter("label = 1").filter(F.col("order") % 5 == 0).collect()
+    scores = np.sort(net.score(secrets.as_codes([bytes(r.window) for r in found])))
+    assert len(scores) > 12  # more than the held out part of the sample
+    lost = (scores < net.threshold).sum()
+    assert lost <= (1 - secrets.RECALL) * len(scores)
+    assert net.threshold > scores[lost] / (1 + 2 / secrets.STEPS)
+
+
+def test_threshold_may_lie_below_one_half():
+    net, rng = secrets.CharNet(), np.random.default_rng(2)
+    x = rng.integers(97, 123, (400, secrets.WIDTH)).astype(np.uint8)
+    y = (np.arange(400) % 10 == 0).astype(float)
+    net.calibrate(x, y)
+    assert net.threshold < 0.5
+    assert (net.score(x[y == 1]) >= net.threshold).mean() >= secrets.RECALL

@@ -5,8 +5,8 @@ a candidate; a small convolutional network over the token's characters and the
 text around it, in numpy, decides on each. The network learns from labelled
 findings: candidates that a base pattern covers are secrets, the others are
 not. Its scores are calibrated (Platt scaling) on findings held out of the
-fit, and the threshold is the largest that still keeps ``RECALL`` of the held
-out secrets. Half of the training secrets have their context blanked, so the
+fit, and the threshold is the largest, in steps of 1/``STEPS`` of log odds,
+that still keeps ``RECALL`` of all held out secrets of the table, however low. Half of the training secrets have their context blanked, so the
 network does not only repeat the patterns' keywords.
 
 At most ``SAMPLE`` findings of each label, those with the smallest hash of
@@ -44,6 +44,8 @@ KINDS = ("assign", "access", "hex", "learned")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 SAMPLE = 4000
 RECALL = 0.98
+#: Histogram bins per unit of log odds, and one of how many findings is held out.
+STEPS, HELD = 1024, 5
 LEFT, BODY, RIGHT, STRIDE = 24, 64, 8, 56
 WIDTH = LEFT + BODY + RIGHT
 
@@ -158,18 +160,22 @@ class CharNet:
             a, b = np.array([a, b]) - np.linalg.solve(h, g)
         self.scale, self.shift = float(a), float(b)
         kept = np.sort(self.score(x)[y == 1])
-        self.threshold = max(0.5, float(kept[int((1 - recall) * len(kept))])) if len(kept) else 1.1
+        self.threshold = float(kept[int((1 - recall) * len(kept))]) if len(kept) else 1.1
+
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
+        return np.clip(self.scale * self.logits(x) + self.shift, -30, 30)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(x) + self.shift, -30, 30)))
+        return 1 / (1 + np.exp(-self.log_odds(x)))
 
 
 def as_codes(found: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(found), np.uint8).reshape(-1, WIDTH) & 0x7F
 
 
-def labelled_findings(docs: DataFrame) -> DataFrame:
-    """``label, order, window``: every candidate, 1 where a base finding covers part of it."""
+def labelled_findings(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """``label, order, place, window``: every candidate, 1 where a base finding covers part of it;
+    its first window, or the ``whole`` token's one after the other."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
@@ -182,7 +188,7 @@ def labelled_findings(docs: DataFrame) -> DataFrame:
                 for s, e in tokens:
                     labels.append(int(any(s < y and x < e for x, y, _ in spans)))
                     places.append(f"{doc_id}:{s}")
-                    found.append(windows(text, s, e)[0])
+                    found.append(b"".join(windows(text, s, e)[:None if whole else 1]))
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(places, pa.string()),
                                               pa.array(found, pa.binary())], names=["label", "place", "window"])
 
@@ -190,6 +196,29 @@ def labelled_findings(docs: DataFrame) -> DataFrame:
     return rows.select("label", F.xxhash64("place").alias("order"), "place", "window")
 
 
+def recall_threshold(found: DataFrame, net: CharNet, recall: float) -> float:
+    """The largest threshold, in steps, that keeps ``recall`` of the findings in ``found``:
+    a finding's score is that of its best window. Only a histogram reaches the driver."""
+    shared = found.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "window"):
+            blobs = b.column("window").to_pylist()
+            if blobs:
+                odds = shared.value.log_odds(as_codes(blobs))
+                size = np.array([len(x) // WIDTH for x in blobs])
+                best = np.maximum.reduceat(odds, np.cumsum(size) - size)
+                yield pa.RecordBatch.from_arrays([pa.array(np.floor(best * STEPS).astype(np.int64))], names=["bin"])
+
+    bins = sorted(found.select("window").mapInArrow(run, "bin long").groupBy("bin").count().collect())
+    left = int((1 - recall) * sum(r["count"] for r in bins))
+    for r in bins:
+        left -= r["count"]
+        if left < 0:
+            return float(1 / (1 + np.exp(-r["bin"] / STEPS)))
+    return 1.1
+
+
 def train(docs: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> CharNet | None:
     """Fit on a bounded sample of labelled findings; None without both labels."""
     found = labelled_findings(docs)
@@ -199,16 +228,20 @@ def train(docs: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> Char
     if not 0 < y.sum() < len(y):
         return None
     x = as_codes([bytes(r.window) for r in rows])
-    held = np.array([r.order % 5 == 0 for r in rows])
+    held = np.array([r.order % HELD == 0 for r in rows])
+    kept = F.col("order") % HELD == 0
     if not (0 < y[~held].sum() < (~held).sum()):
         held[:] = False
+        kept = F.lit(False)
     blank = x[~held & (y == 1)][::2].copy()
     blank[:, :LEFT] = 0
     blank[:, LEFT + BODY:] = 0
     net = CharNet()
     net.fit(np.concatenate([x[~held], blank]), np.concatenate([y[~held], np.ones(len(blank))]))
-    held = held if 0 < y[held].sum() < held.sum() else ~held
+    if not 0 < y[held].sum() < held.sum():
+        held, kept = ~held, ~kept
     net.calibrate(x[held], y[held], recall)
+    net.threshold = recall_threshold(labelled_findings(docs, True).filter("label = 1").filter(kept), net, recall)
     return net
 
 
