@@ -158,3 +158,75 @@ def near(docs, words, percent=80):
         component = d if not s else None if d is None else find(d)
         out.append((d, len(s), component, d == component if d is not None and component is not None else True))
     return out
+
+
+def spelling(docs):
+    run, counts = re.compile("[A-Za-zÀ-ÿ]+"), Counter()
+    for doc_id, text in docs:
+        for found in run.findall(text or ""):
+            word = "".join(c.lower() if c.isascii() else c for c in found)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % 31 == 0:
+                at = h % len(word)
+                word = word[:at] + word[at + 1:]
+            counts[word] += 1
+    words = sorted(w for w, n in counts.items() if len(w) >= 7 and n >= 2)
+    holes = defaultdict(set)
+    for w in words:
+        for k in range(len(w)):
+            holes[w[:k] + "\0" + w[k + 1:]].add(w)  # replaced
+            holes[w[:k] + w[k + 1:]].add(w)  # deleted
+        holes[w].add(w)
+    near = defaultdict(set)
+    for key, held in holes.items():
+        for w in held:
+            near[w] |= {x for x in held if x != w and ("\0" in key or abs(len(x) - len(w)) == 1)}
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= 10 * counts[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, counts[w], len(near[w]), None if form[w] is None else counts[form[w]]))
+    return out
+
+
+def ordered_turns(rows):
+    """``conv_id -> [(role, text)]``; rows are ``(conv_id, turn, role, text)``."""
+    out = defaultdict(list)
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        out[conv].append((role or "", text or ""))
+    return out
+
+
+def trie(rows):
+    own = ordered_turns([r for r in rows if r[0] is not None])
+    whole = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (abs(c) % 100) * (1 if c >= 0 else -1)
+        whole[c] = own.get(base, [])[:h] + turns[h:]
+    members = defaultdict(list)
+    for c, turns in sorted(whole.items()):
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, held in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(held) - 1) * len(p[-1][1]) if p else 0
+    return [(held[0], len(p), members[p[:-1]][0] if p else None, len(held), children[p], leaves[p], saved[p],
+             sha(",".join(str(c) for c in held if len(whole[c]) == len(p)))) for p, held in members.items()]
+
+
+def chat(rows):
+    """All but ``formatted_chars``."""
+    out = []
+    for conv, turns in ordered_turns(rows).items():
+        loss = "".join(text for role, text in turns if role == "assistant")
+        out.append((conv, len(turns), sha("".join(f"{role}\n{text}\n" for role, text in turns)), len(loss), sha(loss)))
+    return out

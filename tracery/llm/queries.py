@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracery.llm import decontaminate, near_dup, ppm, secrets, substring_dedup, toxicity, warc, winnow
+from tracery.llm import (chat_format, decontaminate, near_dup, ppm, prefix_trie, secrets, spelling, substring_dedup, toxicity,
+                         warc, winnow)
 from tracery.llm.common import read
 
 
@@ -60,6 +61,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat_format.with_control_turns(read(spark, sf_dir, "conversations"))
+    return chat_format.read_back(spark, chat_format.write_formatted(rows))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op2_ppm_scores,
@@ -71,8 +85,13 @@ QUERIES = {f.__name__: f for f in (
     op8_pair_bpe,
     op9_near_duplicates,
     op10_token_files,
+    op11_spelling_variants,
+    op12_prefix_trie,
+    op13_chat_format,
 )}
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op6_warc_derivatives": warc.oracle(),
+    "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_chat_format": chat_format.ORACLE,
 }
