@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,6 +43,17 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = PIEC
             start = end
 
 
+def give_back() -> None:
+    """Returns memory that a task has freed to the system: the worker lives on
+    beside the next stage's tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slice_bounds(frame: DataFrame, column: str, n: int) -> list[float]:
     """At most ``n - 1`` ascending split points of a numeric column (approximate
     quantiles, computed over all rows; only the points reach the driver)."""

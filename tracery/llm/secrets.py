@@ -1,36 +1,51 @@
 """Secret scans: fixed patterns and a character network (operator 7).
 
-Three patterns give the base findings. Every other long token with a digit is
-a candidate; a small convolutional network over the token's characters and the
-text around it, in numpy, decides on each. The network learns from labelled
-findings: candidates that a base pattern covers are secrets, the others are
-not. Its scores are calibrated (Platt scaling) on findings held out of the
-fit, and the threshold is the largest, in steps of 1/``STEPS`` of log odds,
-that still keeps ``RECALL`` of all held out secrets of the table, however low. Half of the training secrets have their context blanked, so the
-network does not only repeat the patterns' keywords.
-
-At most ``SAMPLE`` findings of each label, those with the smallest hash of
+Three patterns give the base findings. Candidates are tokens of any kind of 16
+or more characters, tokens of 8 or more of a wider class with a digit, what
+follows a word such as password, pwd, secret, key or bearer (6 or more
+characters of any kind), and the password of a URL. Every candidate that no
+base finding overlaps is decided on by a small convolutional network over its
+characters and the text around it, in numpy.
+
+The network learns from labelled findings of four kinds: ``base``, candidates
+that a base pattern covers (secrets; of every third the context is blanked);
+``planted``, made-up secrets of many forms and alphabets, letters only among
+them, put at the places of other candidates (secrets); ``clean``, candidates
+that no base pattern covers, and ``word``, the corpus's own tokens without
+digits or capitals put into the same forms as planted ones (no secrets). So neither the
+patterns' keywords nor a keyword alone make a secret.
+
+Its scores are calibrated (Platt scaling) on findings held out of the fit. The
+threshold is the largest, in steps of 1/``STEPS`` of log odds, that keeps
+``RECALL`` of all held out ``base`` findings of the table and of all held out
+``planted`` ones: at every fifth candidate of the corpus one is planted.
+
+At most ``SAMPLE`` findings of each kind, those with the smallest hash of
 document and place, train the network; every candidate of every text is scored.
-A token of any length is scored over its whole length, in overlapping windows.
+A token of any length is scored over its whole length, in overlapping windows,
+and learned from in those that overlap the finding.
 
-Defined results: null and empty texts have no spans; without findings of both
-labels only the base patterns apply; repeated rows get equal spans; an empty
+Defined results: null and empty texts have no spans; without findings to learn
+from only the base patterns apply; repeated rows get equal spans; an empty
 table gives an empty table; other columns are ignored. Offsets are characters
 ``[start, end)`` of the original text.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracery.llm.common import pieces, with_fields
+from tracery.llm.common import give_back, pieces, with_fields
+from tracery.session import scratch_path
 
 #: The base patterns.
 ASSIGN = re.compile(
@@ -41,8 +56,24 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "learned")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-SAMPLE = 4000
+LONG = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+_WIDE = "A-Za-z0-9+/_=.!@#$%^&*~-"
+#: Tokens of the wider class with a digit among their first 16 characters.
+MIXED = re.compile(rf"(?<![{_WIDE}])(?=[A-Za-z+/_=.!@#$%^&*~-]{{0,15}}[0-9])[{_WIDE}]{{8,}}")
+CUES = ("passw", "passp", "passc", "pass ", "pass=", "pass:", "pwd", "secret", "token", "credential", "auth", "bearer", "login", "key")
+CUED = re.compile(
+    r"""(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credential|auth(?:orization)?|bearer|login|key)[a-z_]{0,12}["']?"""
+    r"""[ \t]*(?:(?:is|was|basic|bearer|:=|=>|[:=])[ \t]*){0,2}["']?([^\s"'<>,;|]{6,})""")
+URL = re.compile(r"://[^\s/:@]{1,64}:([^\s/@]{3,})@")
+#: What planted secrets look like: where they stand, and what they are made of.
+FORMS = ("pwd: {}", "password is {}", "Bearer {}", "Authorization: Basic {}", "login admin / {}", "https://admin:{}@db.example.com/x",
+         "ssh key {}", "\"passphrase\": \"{}\"", "AUTH={}", "the secret {}", "--pwd {}", "credentials: {}")
+_LOWER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+ALPHABETS = ((_DIGIT + "abcdef", 16, 40), (_LOWER + _LOWER.upper() + _DIGIT + "+/", 16, 44), (_LOWER, 16, 32),
+             (_LOWER + _LOWER.upper(), 12, 32), (_LOWER + _LOWER.upper() + _DIGIT + "!@#$%", 8, 15),
+             (_LOWER.upper() + _DIGIT, 12, 24))
+FOUND = ("base", "planted", "clean", "word")
+SAMPLE = 2000
 RECALL = 0.98
 #: Histogram bins per unit of log odds, and one of how many findings is held out.
 STEPS, HELD = 1024, 5
@@ -62,14 +93,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in CANDIDATE.finditer(text) if any(c.isdigit() for c in m[0])]
+    """Spans of the candidates; those that overlap are one."""
+    found = [m.span() for m in LONG.finditer(text)] + [m.span() for m in MIXED.finditer(text)]
+    low = text.lower()
+    if any(c in low for c in CUES):
+        found += [(m.start(1), m.start(1) + max(len(m[1].rstrip(".!?:)")), 6)) for m in CUED.finditer(text)]
+    if "://" in text:
+        found += [m.span(1) for m in URL.finditer(text)]
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(found):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def starts(start: int, end: int) -> range:
+    """Where the windows over a token begin."""
+    return range(start, max(end - BODY + STRIDE, start + 1), STRIDE)
 
 
 def windows(text: str, start: int, end: int) -> list[bytes]:
     """The token in windows of ``BODY`` characters, each with the text around the token."""
     left, right = text[max(0, start - LEFT):start].rjust(LEFT, "\0"), text[end:end + RIGHT].ljust(RIGHT, "\0")
     return [(left + text[s:min(end, s + BODY)].ljust(BODY, "\0") + right).encode("ascii", "replace")
-            for s in range(start, max(end - BODY + STRIDE, start + 1), STRIDE)]
+            for s in starts(start, end)]
+
+
+def planted(text: str, start: int, end: int, seed: int) -> Iterator[tuple[str, list[bytes]]]:
+    """A made-up secret in place of the token, and the token itself in the
+    same form where it looks like a word: ``(kind, windows)``."""
+    rng = np.random.default_rng(seed)
+    head, tail = FORMS[rng.integers(len(FORMS))].split("{}")
+    letters, least, most = ALPHABETS[rng.integers(len(ALPHABETS))]
+    secret = "".join(letters[k] for k in rng.integers(len(letters), size=rng.integers(least, most + 1)))
+    before, after = text[max(0, start - LEFT):start], text[end:end + RIGHT]
+    for kind, value in (("planted", secret), ("word", text[start:end])):
+        if kind == "planted" or value.isalpha() and value.islower():
+            here = before + head + value + tail + after
+            at = len(before) + len(head)
+            yield kind, windows(here, at, at + len(value))
 
 
 class CharNet:
@@ -86,7 +150,10 @@ class CharNet:
             "out": rng.normal(0, 0.1, 3 * self.FILTERS),
             "out_b": np.zeros(1),
         }
-        self.scale, self.shift, self.threshold = 1.0, 0.0, 0.5
+        self.scale, self.shift = 1.0, 0.0
+        #: The least log odds of a secret, in steps; None accepts nothing.
+        self.cut: int | None = 0
+        self.quality: dict[str, tuple[int, int]] = {}
         self.body = np.zeros(WIDTH - self.TAPS + 1, bool)
         self.body[LEFT:LEFT + BODY] = True
 
@@ -147,8 +214,8 @@ class CharNet:
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([self._forward(x[s:s + 512])[0] for s in range(0, len(x), 512)] or [np.zeros(0)])
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> None:
-        """Platt scaling by Newton steps, then the recall-constrained threshold."""
+    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Platt scaling by Newton steps."""
         z = self.logits(x)
         a, b = 1.0, 0.0
         target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
@@ -159,89 +226,128 @@ class CharNet:
             h = np.array([[(v * z * z).sum() + 1e-3, (v * z).sum()], [(v * z).sum(), v.sum() + 1e-3]])
             a, b = np.array([a, b]) - np.linalg.solve(h, g)
         self.scale, self.shift = float(a), float(b)
-        kept = np.sort(self.score(x)[y == 1])
-        self.threshold = float(kept[int((1 - recall) * len(kept))]) if len(kept) else 1.1
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self.scale * self.logits(x) + self.shift, -30, 30)
 
+    def steps(self, x: np.ndarray) -> np.ndarray:
+        """Log odds in whole steps."""
+        return np.floor(self.log_odds(x) * STEPS).astype(np.int64)
+
+    @property
+    def threshold(self) -> float:
+        return 1.1 if self.cut is None else float(1 / (1 + np.exp(-self.cut / STEPS)))
+
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-self.log_odds(x)))
 
 
 def as_codes(found: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(found), np.uint8).reshape(-1, WIDTH) & 0x7F
+    return (np.frombuffer(b"".join(found), np.uint8) & 0x7F).reshape(-1, WIDTH)
+
+
+def findings(doc_id: object, text: str | None) -> Iterator[tuple[int, str, list[bytes]]]:
+    """``(hash of the place, kind, windows)`` of every labelled finding of a text."""
+    tokens = candidates(text or "")
+    spans = base_spans(text) if tokens else []
+    for s, e in tokens:
+        order = zlib.crc32(f"{doc_id}:{s}".encode())
+        hit = [(x, y) for x, y, _ in spans if s < y and x < e]
+        mine = windows(text, s, e)
+        if hit:
+            yield order, "base", [w for k, w in zip(starts(s, e), mine) if any(k < y and x < min(e, k + BODY) for x, y in hit)]
+        else:
+            yield order, "clean", mine
+            yield from ((order, *made) for made in planted(text, s, e, order))
 
 
-def labelled_findings(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """``label, order, place, window``: every candidate, 1 where a base finding covers part of it;
-    its first window, or the ``whole`` token's one after the other."""
+def sampled(docs: DataFrame, sample: int) -> dict[str, list[tuple[int, bytes]]]:
+    """``(hash, windows)`` of at most ``sample`` findings of each kind, by smallest hash."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, list] = {k: [] for k in FOUND}
         for b in pieces(batches, "text"):
-            labels, places, found = [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                tokens = candidates(text or "")
-                if not tokens:
-                    continue
-                spans = base_spans(text)
-                for s, e in tokens:
-                    labels.append(int(any(s < y and x < e for x, y, _ in spans)))
-                    places.append(f"{doc_id}:{s}")
-                    found.append(b"".join(windows(text, s, e)[:None if whole else 1]))
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(places, pa.string()),
-                                              pa.array(found, pa.binary())], names=["label", "place", "window"])
-
-    rows = docs.select("doc_id", "text").mapInArrow(run, "label int, place string, window binary")
-    return rows.select("label", F.xxhash64("place").alias("order"), "place", "window")
-
-
-def recall_threshold(found: DataFrame, net: CharNet, recall: float) -> float:
-    """The largest threshold, in steps, that keeps ``recall`` of the findings in ``found``:
-    a finding's score is that of its best window. Only a histogram reaches the driver."""
-    shared = found.sparkSession.sparkContext.broadcast(net)
+                for order, kind, mine in findings(doc_id, text):
+                    # The greatest hash is on top, and goes when there are too many.
+                    (heapq.heappush if len(best[kind]) < sample else heapq.heappushpop)(best[kind], (-order, b"".join(mine)))
+        for kind, held in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(held), pa.string()), pa.array([-o for o, _ in held], pa.int64()),
+                                              pa.array([w for _, w in held], pa.binary())], names=["kind", "order", "windows"])
+        give_back()
+
+    folder = scratch_path(docs.sparkSession, "secrets")
+    docs.select("doc_id", "text").mapInArrow(run, "kind string, order long, windows binary").write.parquet(folder)
+    found = docs.sparkSession.read.schema("kind string, order long, windows binary").parquet(folder)
+    return {kind: [(r.order, bytes(r.windows)) for r in
+                   found.filter(F.col("kind") == kind).orderBy("order", "windows").limit(sample).collect()] for kind in FOUND}
+
+
+def held_out_scores(docs: DataFrame, net: CharNet) -> DataFrame:
+    """``kind, bin, n``: the held out findings of every text by log odds, in steps;
+    a finding's score is that of its best window."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, "window"):
-            blobs = b.column("window").to_pylist()
-            if blobs:
-                odds = shared.value.log_odds(as_codes(blobs))
-                size = np.array([len(x) // WIDTH for x in blobs])
-                best = np.maximum.reduceat(odds, np.cumsum(size) - size)
-                yield pa.RecordBatch.from_arrays([pa.array(np.floor(best * STEPS).astype(np.int64))], names=["bin"])
-
-    bins = sorted(found.select("window").mapInArrow(run, "bin long").groupBy("bin").count().collect())
-    left = int((1 - recall) * sum(r["count"] for r in bins))
-    for r in bins:
-        left -= r["count"]
-        if left < 0:
-            return float(1 / (1 + np.exp(-r["bin"] / STEPS)))
-    return 1.1
+        for b in pieces(batches, "text"):
+            kinds, found = [], []
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                for order, kind, mine in findings(doc_id, text):
+                    if order % HELD == 0:
+                        kinds.append(kind)
+                        found.append(mine)
+            if found:
+                size = np.array([len(x) for x in found])
+                steps = shared.value.steps(as_codes([w for x in found for w in x]))
+                best = np.maximum.reduceat(steps, np.cumsum(size) - size).tolist()
+                total = Counter(zip(kinds, best))
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in total], pa.string()), pa.array([x for _, x in total], pa.int64()),
+                                                  pa.array(list(total.values()), pa.int64())], names=["kind", "bin", "n"])
+        give_back()
+
+    return docs.select("doc_id", "text").mapInArrow(run, "kind string, bin long, n long").groupBy("kind", "bin").agg(F.sum("n").alias("n"))
+
+
+def set_threshold(docs: DataFrame, net: CharNet, recall: float) -> dict[str, tuple[int, int]]:
+    """Sets the largest threshold, in steps, that keeps ``recall`` of the held out
+    secrets of each kind; gives the held out findings of every kind and how many
+    of them it flags. Only a histogram of bounded size reaches the driver."""
+    bins = held_out_scores(docs, net).collect()
+    least = []
+    for kind in FOUND[:2]:
+        mine = sorted((r.bin, r.n) for r in bins if r.kind == kind)
+        left = int((1 - recall) * sum(n for _, n in mine))
+        for b, n in mine:
+            left -= n
+            if left < 0:
+                least.append(b)
+                break
+    net.cut = cut = min(least, default=None)
+    return {kind: (sum(r.n for r in bins if r.kind == kind),
+                   sum(r.n for r in bins if r.kind == kind and cut is not None and r.bin >= cut)) for kind in FOUND}
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> CharNet | None:
     """Fit on a bounded sample of labelled findings; None without both labels."""
-    found = labelled_findings(docs)
-    rows = found.filter("label = 1").orderBy("order", "place", "window").limit(sample).unionByName(
-        found.filter("label = 0").orderBy("order", "place", "window").limit(sample)).collect()
-    y = np.array([r.label for r in rows], float)
+    found = sampled(docs, sample)
+    rows = [(order, float(kind in FOUND[:2]), kind, w) for kind in FOUND for order, w in found[kind]]
+    x = as_codes([w for _, _, _, w in rows])
+    size = [len(w) // WIDTH for _, _, _, w in rows]
+    y, held = np.repeat([r[1] for r in rows], size), np.repeat([r[0] % HELD == 0 for r in rows], size).astype(bool)
+    base = np.repeat([r[2] == "base" for r in rows], size).astype(bool)
     if not 0 < y.sum() < len(y):
         return None
-    x = as_codes([bytes(r.window) for r in rows])
-    held = np.array([r.order % HELD == 0 for r in rows])
-    kept = F.col("order") % HELD == 0
-    if not (0 < y[~held].sum() < (~held).sum()):
+    if not 0 < y[~held].sum() < (~held).sum():
         held[:] = False
-        kept = F.lit(False)
-    blank = x[~held & (y == 1)][::2].copy()
+    blank = x[~held & base][::3].copy()
     blank[:, :LEFT] = 0
     blank[:, LEFT + BODY:] = 0
     net = CharNet()
     net.fit(np.concatenate([x[~held], blank]), np.concatenate([y[~held], np.ones(len(blank))]))
     if not 0 < y[held].sum() < held.sum():
-        held, kept = ~held, ~kept
-    net.calibrate(x[held], y[held], recall)
-    net.threshold = recall_threshold(labelled_findings(docs, True).filter("label = 1").filter(kept), net, recall)
+        held = ~held
+    net.calibrate(x[held], y[held])
+    net.quality = set_threshold(docs, net, recall)
     return net
 
 
@@ -257,8 +363,8 @@ def all_spans(texts: list[str | None], net: CharNet | None) -> list[list[tuple[i
                 mine = windows(text, s, e)
                 waiting.extend([(i, s, e)] * len(mine))
                 found.extend(mine)
-    if found:
-        for i, s, e in {w for w, q in zip(waiting, net.score(as_codes(found))) if q >= net.threshold}:
+    if found and net.cut is not None:
+        for i, s, e in {w for w, q in zip(waiting, net.steps(as_codes(found)).tolist()) if q >= net.cut}:
             spans[i].append((s, e, 3))
     return [sorted(x) for x in spans]
 
@@ -275,6 +381,7 @@ def find_spans(docs: DataFrame, net: CharNet | None, keep: tuple[str, ...] = ("d
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(
                 [[{"start": s, "end": e, "kind": KINDS[k]} for s, e, k in x] for x in spans], kind)],
                 names=[*keep, "spans"])
+        give_back()
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
@@ -321,5 +428,6 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
                 new["n_chars"] = [len(t) if s else n for t, s, n in zip(texts, spans, b.column("n_chars").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new[f.name], f.type) if f.name in new else b.column(f.name) for f in b.schema], schema=b.schema)
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
