@@ -129,7 +129,7 @@ select execution_id, pass, node_id, leaf_id, sub, node_class, env, col_node,
             when hive_path then hive_name when is_jdbc then jdbc_table end as name,
        case when hive_path and hive_name is null then 'hive path with fewer than two segments'
             when is_jdbc and jdbc_table is null then 'jdbc read without dbtable'
-            when is_jdbc and jplat is null then 'jdbc url without platform' end as fail_reason,
+            when is_jdbc and jdbc_url is not null and jplat is null then 'jdbc url without platform' end as fail_reason,
        coalesce(sub = 0 or is_file or is_jdbc, false) as records_schema,
        coalesce(file_path, false) as file_record
 from {p}items1""",
@@ -306,6 +306,20 @@ def _all_ctes() -> dict[str, str]:
     ctes["o_exec"] = "select *, execution_id as job_number from fx_executions"
     ctes.update(_lineage_ctes("o_", "o_exec"))
     ctes.update(_firsts("o_", "app_name"))
+    # What a plain physical log tells of the plans: JDBC reads without URL, saves by driver.
+    ctes["p_nodes"] = """
+select execution_id, node_id, parent_id, edge_kind, node_class, relation_class,
+       case when node_class in ('CreateHiveTableAsSelectCommand', 'CreateDataSourceTableAsSelectCommand')
+            then coalesce(catalog_db, 'default') else catalog_db end as catalog_db,
+       case when node_class = 'CreateDataSourceTableAsSelectCommand' then coalesce(catalog_table, 't') else catalog_table end as catalog_table,
+       path, paths,
+       case when node_class <> 'SaveIntoDataSourceCommand' then null
+            when contains(jdbc_url, 'sqlserver') then 'jdbc:sqlserver:x' when jdbc_url is not null then 'jdbc:mysql:x' end as jdbc_url,
+       case when (relation_class = 'JDBCRelation' or node_class = 'RowDataSourceScanExec') then coalesce(jdbc_table, '(select 1) x')
+            else jdbc_table end as jdbc_table
+from fx_plan_nodes"""
+    ctes.update({k: v.replace("fx_plan_nodes", "p_nodes").replace("fx_plan_columns", "(select * from fx_plan_columns where node_id < 0)")
+                 for k, v in _lineage_ctes("p_", "o_exec").items()})
     ctes["r_exec"] = ("select e.*, r.run_no, r.run_execution_id as job_number "
                       "from fx_executions e join fx_runs r on r.execution_id = e.execution_id")
     ctes.update(_lineage_ctes("r_", "r_exec"))
@@ -400,10 +414,26 @@ FINAL["event_plan_nodes"] = ("select execution_id, node_id, parent_id, edge_kind
                              "catalog_db, catalog_table, path, jdbc_url, jdbc_table from fx_plan_nodes")
 FINAL["event_job_io"] = FINAL["job_io"]
 
+FINAL["physical_plan_nodes"] = f"""
+select execution_id, edge_kind, node_class, relation_class, catalog_db, catalog_table, jdbc_table, array_to_string(paths, '|') as path_list
+from p_nodes where node_class in ({TRACKED})"""
+FINAL["physical_job_io"] = ("select execution_id, job_urn, flow_urn, input_urns, output_urns, n_inputs, n_outputs "
+                            "from p_job_io")
+
 # The streamed catalog must equal the batch upsert; the stream replays
 # executions in time order, so its first events equal the batch ones.
 FINAL["stream_catalog_upsert"] = FINAL["catalog_upsert"]
 FINAL["stream_first_events"] = FINAL["first_events"]
+# At a run's first event all jobs of its flow go: of run 1 only jobs of applications without a second run stay.
+FINAL["stream_catalog_current"] = f"""
+select u.emit_seq, u.entity_type, u.urn, u.aspect_name, u.aspect
+from r_upsert u join fx_runs x on x.execution_id = u.execution_id
+where u.entity_type <> 'dataJob' or x.run_no = 2
+   or not exists (select 1 from r_alive a where a.run_no = 2
+                  and contains(u.urn, '(' || {_flow('a.app_name', 'a.master')} || ',ExecutionId_'))"""
+FINAL["stream_emit_log"] = ("select a.aspect_name, 'success' as outcome, count(w.urn) as n "
+                            "from (values ('datasetProperties'), ('schemaMetadata'), ('dataFlowInfo'), ('dataJobInfo'), "
+                            "('dataJobInputOutput')) a(aspect_name) left join r_writes w on w.aspect_name = a.aspect_name group by all")
 
 _WORD = re.compile(r"\b([a-z][a-z0-9_]*)\b")
 _FIXTURES = tuple(f"fx_{name}" for name in FIXTURE_SQL)

@@ -232,14 +232,14 @@ EXEC_COLS = ["execution_id", "app_name", "master", "description", "started_at",
              "input_override", "output_override"]
 
 
-def _event_log(spark, sf_dir):
+def _event_log(spark, sf_dir, kind="captured"):
     from tracery.sources import eventlog as EL
 
     fx = _prepare(spark, sf_dir)
     # The log is parsed once per application and folder; every query reads the kinds it needs.
-    key = (spark.sparkContext.applicationId, sf_dir, "events")
+    key = (spark.sparkContext.applicationId, sf_dir, f"events-{kind}")
     if key not in _PLANS:
-        _PLANS[key] = EL.lineage_tables(spark, fx.event_log())
+        _PLANS[key] = EL.lineage_tables(spark, fx.event_log(kind))
     return fx, _PLANS[key]
 
 
@@ -292,6 +292,28 @@ def event_job_io(spark, sf_dir):
     return plan.job_io.select(KEY, "job_urn", "flow_urn", "input_urns", "output_urns", "n_inputs", "n_outputs")
 
 
+def _path_text():
+    return F.array_join("paths", "|").alias("path_list")
+
+
+def physical_plan_nodes(spark, sf_dir):
+    """S5 over plain physical plans: the relations and sinks, with all root paths."""
+    _, t = _event_log(spark, sf_dir, "physical")
+    nodes = t["plan_nodes"].filter(F.col("node_class").isin(*R.TRACKED_CLASSES))
+    return nodes.select("execution_id", "edge_kind", "node_class", "relation_class", "catalog_db", "catalog_table", "jdbc_table", _path_text())
+
+
+def physical_job_io(spark, sf_dir):
+    """Lineage records from plain physical plans: nested executions under their
+    command, platforms of JDBC saves by driver."""
+    from tracery.sources.eventlog import NODE_COLS, scan_columns
+
+    _, t = _event_log(spark, sf_dir, "physical")
+    plan = LineagePlan(t["executions"].select(*EXEC_COLS), t["plan_nodes"].select(*NODE_COLS),
+                       scan_columns(t["plan_nodes"]).drop("app_key"))
+    return plan.job_io.select(KEY, "job_urn", "flow_urn", "input_urns", "output_urns", "n_inputs", "n_outputs")
+
+
 # -- streaming -----------------------------------------------------------------
 
 def stream_catalog_upsert(spark, sf_dir):
@@ -300,6 +322,18 @@ def stream_catalog_upsert(spark, sf_dir):
     return run(spark, sf_dir).select(*CATALOG_COLS)
 
 
+def stream_catalog_current(spark, sf_dir):
+    from tracery.streaming.incremental import stream_catalog_current as run
+
+    return run(spark, sf_dir).select(*CATALOG_COLS)
+
+
+def stream_emit_log(spark, sf_dir):
+    from tracery.streaming.incremental import stream_emit_log as run
+
+    return run(spark, sf_dir).select("aspect_name", "outcome", "n")
+
+
 def stream_first_events(spark, sf_dir):
     from tracery.streaming.incremental import stream_first_events as run
 
@@ -346,6 +380,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_settings": session_settings,
     "event_plan_nodes": event_plan_nodes,
     "event_job_io": event_job_io,
+    "physical_plan_nodes": physical_plan_nodes,
+    "physical_job_io": physical_job_io,
     "stream_catalog_upsert": stream_catalog_upsert,
     "stream_first_events": stream_first_events,
+    "stream_catalog_current": stream_catalog_current,
+    "stream_emit_log": stream_emit_log,
 }

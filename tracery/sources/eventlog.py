@@ -10,7 +10,15 @@ needs:
 * S2 ``ApplicationStart`` -> app id, name, time, user;
 * S3 ``ApplicationEnd`` -> time;
 * S6 ``EnvironmentUpdate`` -> ``(key, value)`` session settings;
-* S5 ``sparkPlanInfo`` -> ``plan_nodes`` rows, flattened level by level.
+* S5 ``sparkPlanInfo`` -> ``plan_nodes`` rows, one per plan node.
+
+Logs of running applications (``.inprogress``) and compacted ones
+(``.compact``) are read like finished ones, plain or zstd-compressed. A
+compressed log is read by the text source as well, which cuts it at newline
+bytes; a task puts a log's pieces together in order and decompresses them as
+a stream, so neither a file's size nor an unfinished last frame matters. Logs
+in another codec are named in an error, and lines that are no event are
+counted by ``unread_lines``.
 
 The plan tree is nested JSON of unbounded depth: each plan is walked once by
 a small Arrow-batched helper that emits one row per node with its preorder
@@ -18,6 +26,10 @@ id and nearest kept ancestor; the mapping to lineage columns is Spark. Nodes car
 (``nodeClass`` etc., as a plan-capturing listener writes them) are taken as
 is; plain physical plans are mapped by node name (best effort, see
 ``PHYSICAL_NAMES``).
+
+CTAS and JDBC-save commands log no children: their query runs as a later
+execution of the same root execution. ``folded`` puts such executions' plans
+under their command, so the command's job has the inputs.
 """
 
 from __future__ import annotations
@@ -25,7 +37,7 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +64,7 @@ START_SCHEMA = T.StructType([
     T.StructField("executionId", T.LongType()),
     T.StructField("rootExecutionId", T.LongType()),
     T.StructField("description", T.StringType()),
+    T.StructField("physicalPlanDescription", T.StringType()),
     T.StructField("time", T.LongType()),
     T.StructField("sparkPlanInfo", T.StringType()),
 ])
@@ -77,35 +90,89 @@ def _ts(ms: Column) -> Column:
     return F.timestamp_millis(ms).cast("timestamp_ntz")
 
 
+# File-name endings of event logs. The last two may follow a codec's.
 COMPRESSED_SUFFIX = ".zstd"
-# Spark's other event-log codecs, which are not read here.
 OTHER_SUFFIXES = (".lz4", ".lzf", ".snappy")
+STATE_SUFFIXES = (".inprogress", ".compact")
+_STATE = r"(\.inprogress|\.compact)+$"
 # The events the lineage job needs.
 KINDS = (EV_SQL_START, EV_APP_START, EV_APP_END, EV_ENV)
 # Decompressed text per output batch.
 LINES_BYTES = 4 << 20
 
 
-def _unzstd(batches):
-    """Decompress zstd event-log files into lines, in batches of bounded size."""
-    import io
+class _Frames:
+    """Decompresses a file's bytes, given in order, whose last frame may be unfinished."""
 
-    import pandas as pd
-    import zstandard
+    def __init__(self):
+        import zstandard
 
-    for pdf in batches:
-        for path, blob in zip(pdf["path"], pdf["content"]):
-            stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(blob), read_across_frames=True)
-            lines, size = [], 0
-            # newline="\n": other line separators are part of an event's text.
-            for line in io.TextIOWrapper(stream, encoding="utf-8", newline="\n"):
-                lines.append(line.rstrip("\n"))
-                size += len(line)
-                if size >= LINES_BYTES:
-                    yield pd.DataFrame({"path": path, "value": lines})
-                    lines, size = [], 0
-            if lines:
-                yield pd.DataFrame({"path": path, "value": lines})
+        self.new = zstandard.ZstdDecompressor().decompressobj
+        self.now, self.tail = self.new(), b""
+
+    def feed(self, data: bytes) -> list[bytes]:
+        """The lines that are complete with ``data``."""
+        out = []
+        while data:
+            if self.now.eof:
+                self.now = self.new()
+            out.append(self.now.decompress(data))
+            data = self.now.unused_data if self.now.eof else b""
+        *lines, self.tail = b"".join([self.tail, *out]).split(b"\n")
+        return lines
+
+    def end(self) -> list[bytes]:
+        """What is left: a last newline byte of the file was cut off with its row."""
+        import zstandard
+
+        lines = []
+        if not self.now.eof:
+            try:
+                lines = self.feed(b"\n")
+            except zstandard.ZstdError:  # it was not part of the frame
+                pass
+        return [*lines, self.tail] if self.tail else lines
+
+
+def _decompressed(batches):
+    """``path, value`` lines of zstd files from their newline-cut pieces, in order."""
+    import pyarrow as pa
+
+    path, frames, lines, size, last = None, None, [], 0, b""
+
+    def batch(found):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([path] * len(found), pa.string()), pa.array([x.decode("utf-8", "replace") for x in found], pa.string())],
+            names=["path", "value"])
+
+    for b in batches:
+        for p, piece in zip(b.column("path").to_pylist(), b.column("piece").to_pylist()):
+            if p != path:
+                if frames is not None:
+                    lines += frames.end()
+                    yield batch(lines)
+                path, frames, lines, size, last = p, _Frames(), [], 0, b""
+            found = frames.feed(last + piece)
+            last = b"\n"
+            lines += found
+            size += sum(map(len, found))
+            if size >= LINES_BYTES:
+                yield batch(lines)
+                lines, size = [], 0
+    if frames is not None:
+        lines += frames.end()
+        yield batch(lines)
+
+
+def _superseded(paths: list[str]) -> list[str]:
+    """Rolled files whose events a compacted file of the same log already holds."""
+    number = re.compile(r"^(.*)/events_(\d+)_[^/]*$")
+    compacted: dict[str, int] = {}
+    rolled = [(p, m[1], int(m[2])) for p in paths if (m := number.match(p))]
+    for p, folder, n in rolled:
+        if p.endswith(".compact"):
+            compacted[folder] = max(n, compacted.get(folder, 0))
+    return [p for p, folder, n in rolled if n < compacted.get(folder, 0) or (n == compacted.get(folder) and not p.endswith(".compact"))]
 
 
 def _folders(path: str) -> int:
@@ -116,38 +183,66 @@ def _folders(path: str) -> int:
     return len([p for p in re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).split("/") if p])
 
 
-def read_events(spark: SparkSession, root: str) -> DataFrame:
-    """The needed event lines with the application key and event name.
+def read_lines(spark: SparkSession, root: str | list[str], below: str | None = None) -> DataFrame:
+    """``app_key, path, value``: every line of the logs below ``root``.
 
-    Plain logs are read as text; zstd-compressed logs (Spark's default codec)
-    are decompressed per file. The application key is the path's first
-    component below ``root``. A log in another codec raises an error.
+    ``root`` may be a list of files of a log folder ``below``. One listing
+    serves plain and compressed logs. The application key is the path's first
+    component below the folder, without the endings of a file's state and codec.
     """
-    binary = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    for suffix in OTHER_SUFFIXES:
-        found = binary.option("pathGlobFilter", "*" + suffix).load(root).select("path").head(1)
-        if found:
-            raise ValueError(f"event log in a codec that is not read: {found[0].path}")
-    # The filter is on file metadata, so compressed files are not listed for the text scan.
-    plain = (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
-             .filter(~F.col("_metadata.file_name").endswith(COMPRESSED_SUFFIX))
-             .select(F.col("_metadata.file_path").alias("path"), "value"))
-    packed = (binary.option("pathGlobFilter", "*" + COMPRESSED_SUFFIX).load(root)
-              .select("path", "content").mapInPandas(_unzstd, "path string, value string"))
+    files = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
+    paths = files.inputFiles()
+    for path in paths:
+        if re.sub(_STATE, "", path).endswith(OTHER_SUFFIXES):
+            raise ValueError(f"event log in a codec that is not read: {path}")
+    old = _superseded(paths)
+    path = F.col("_metadata.file_path")
+    packed = F.regexp_replace(F.col("_metadata.file_name"), _STATE, "").endswith(COMPRESSED_SUFFIX)
+    if old:
+        names = [p.rsplit("/", 2)[-2:] for p in old]
+        gone = F.concat_ws("/", F.slice(F.split(path, "/"), -2, 2)).isin(["/".join(n) for n in names])
+        files = files.filter(~gone)
+    # Both filters are on file metadata, so each branch opens its own files only.
+    plain = files.filter(~packed).select(path.alias("path"), "value")
+    pieces = files.filter(packed).select(
+        path.alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"),
+        F.col("value").cast("binary").alias("piece"))
+    # A compressed stream is sequential: one log is one task's, a piece at a time.
+    unpacked = pieces.repartition("path").sortWithinPartitions("path", "start", "at").select("path", "piece").mapInArrow(
+        _decompressed, "path string, value string")
     parts = F.filter(F.split(F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda p: p != "")
-    return plain.unionByName(packed).select(
-        F.get(parts, F.lit(_folders(root))).alias("app_key"),
+    entry = F.get(parts, F.lit(_folders(below if below is not None else root)))
+    return plain.unionByName(unpacked).select(
+        F.regexp_replace(entry, r"(\.zstd|\.inprogress|\.compact)+$", "").alias("app_key"), "path", "value")
+
+
+def events_of(lines: DataFrame) -> DataFrame:
+    """The needed events of some lines: ``app_key, event, json``."""
+    return lines.select(
+        "app_key",
         F.get_json_object("value", "$.Event").alias("event"),
         F.col("value").alias("json"),
     ).filter(F.col("event").isin(*KINDS))
 
 
+def read_events(spark: SparkSession, root: str) -> DataFrame:
+    """The needed event lines with the application key and event name."""
+    return events_of(read_lines(spark, root))
+
+
+def unread_lines(lines: DataFrame) -> DataFrame:
+    """``path, n_lines``: how many non-empty lines of each file are no event
+    (damaged ones, or the unfinished last line of a running application)."""
+    event = F.get_json_object("value", "$.Event")
+    return lines.filter(event.isNull() & (F.col("value") != "")).groupBy("path").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def written_events(spark: SparkSession, root: str) -> DataFrame:
     """``read_events`` parsed once: written by kind, so each consumer reads only its own."""
     from tracery.session import scratch_path
 
     path = scratch_path(spark, "events")
-    events = read_events(spark, root)
+    events = read_events(spark, root).select("app_key", "json", "event")
     events.write.partitionBy("event").parquet(path)
     return spark.read.schema(events.schema).parquet(path)
 
@@ -181,7 +276,8 @@ def sql_starts(events: DataFrame) -> DataFrame:
     return e.select("app_key", F.col("e.executionId").alias("execution_id"),
                     F.col("e.rootExecutionId").alias("root_execution_id"),
                     F.col("e.description").alias("description"), _ts(F.col("e.time")).alias("started_at"),
-                    F.col("e.sparkPlanInfo").alias("plan_json"))
+                    F.col("e.sparkPlanInfo").alias("plan_json"),
+                    _nonempty(F.regexp_extract("e.physicalPlanDescription", COMMAND_ARGS, 1)).alias("command_args"))
 
 
 def sql_executions(events: DataFrame) -> DataFrame:
@@ -203,7 +299,7 @@ def sql_executions(events: DataFrame) -> DataFrame:
         .select("execution_id", "app_name", "master", "description", "started_at", "default_fs",
                 F.coalesce("input_override", F.lit("")).alias("input_override"),
                 F.coalesce("output_override", F.lit("")).alias("output_override"),
-                "app_id", "app_key")
+                "app_id", "app_key", "root_execution_id")
     )
 
 
@@ -223,6 +319,26 @@ PHYSICAL_NAMES = (
 )
 
 
+# Commands that log no children; their arguments stand in the plan's description.
+COMMANDS = ("CreateHiveTableAsSelectCommand", "CreateDataSourceTableAsSelectCommand", "SaveIntoDataSourceCommand")
+COMMAND_ARGS = rf"\n\(\d+\) (?:{'|'.join(COMMANDS)})\s*\nArguments: ([^\n]*)"
+# JDBC platform by the beginning of the driver's class; URLs are redacted in logs.
+DRIVERS = (
+    ("com.mysql.", "mysql"),
+    ("org.mariadb.", "mariadb"),
+    ("org.postgresql.", "postgresql"),
+    ("com.microsoft.sqlserver.", "sqlserver"),
+    ("oracle.", "oracle"),
+    ("com.ibm.db2.", "db2"),
+    ("org.apache.derby.", "derby"),
+    ("org.h2.", "h2"),
+    ("com.teradata.", "teradata"),
+    ("net.snowflake.", "snowflake"),
+    ("com.databricks.", "databricks"),
+    ("org.apache.hive.", "hive2"),
+)
+
+
 # Leaves of a cached physical plan keep their exec class.
 CACHED_EXEC_NAMES = (
     (r"^Scan JDBCRelation", "RowDataSourceScanExec"),
@@ -263,7 +379,7 @@ UNLISTED = "(more paths, not in the event log)"
 
 
 FLAT_SCHEMA = ("app_key string, execution_id long, node_id int, parent_id int, in_cache boolean, "
-               "node_name string, simple string, meta_json string")
+               "node_name string, simple string, meta_json string, command_args string")
 _WRAPPER_PREFIXES = tuple(WRAPPERS)
 # Plan nodes held per output batch, beyond the plan at hand.
 NODES_PER_BATCH = 20_000
@@ -281,14 +397,14 @@ def _flatten_plans(batches):
 
     import pandas as pd
 
-    cols = ("app_key", "execution_id", "node_id", "parent_id", "in_cache", "node_name", "simple", "meta_json")
+    cols = ("app_key", "execution_id", "node_id", "parent_id", "in_cache", "node_name", "simple", "meta_json", "command_args")
 
     def frame(out):
         return pd.DataFrame(out, columns=list(cols)).astype({"node_id": "Int32", "parent_id": "Int32"})
 
     for pdf in batches:
         out = {c: [] for c in cols}
-        for app, ex, text in zip(pdf["app_key"], pdf["execution_id"], pdf["plan_json"]):
+        for app, ex, text, args in zip(pdf["app_key"], pdf["execution_id"], pdf["plan_json"], pdf["command_args"]):
             if text is None:
                 continue
             seq = 0
@@ -303,7 +419,7 @@ def _flatten_plans(batches):
                     me = int(meta["nodeId"]) if "nodeId" in meta else seq
                     seq += 1
                     for c, v in zip(cols, (app, ex, me, parent, in_cache, name, node.get("simpleString"),
-                                           json.dumps(meta))):
+                                           json.dumps(meta), None if parent is not None else args)):
                         out[c].append(v)
                 below = in_cache or name.startswith("InMemoryTableScan")
                 for child in reversed(node.get("children") or []):
@@ -321,7 +437,7 @@ def plan_nodes(starts: DataFrame) -> DataFrame:
     Arrow-batched helper (one pass over the text, no shuffle); mapping
     metadata and physical names to the lineage columns is Spark.
     """
-    flat = starts.select("app_key", "execution_id", "plan_json").mapInPandas(_flatten_plans, FLAT_SCHEMA)
+    flat = starts.select("app_key", "execution_id", "plan_json", "command_args").mapInPandas(_flatten_plans, FLAT_SCHEMA)
     meta = F.from_json("meta_json", T.MapType(T.StringType(), T.StringType()))
     return _node_rows(flat.withColumn("meta", meta))
 
@@ -350,9 +466,9 @@ def _node_rows(nodes: DataFrame) -> DataFrame:
         F.coalesce(meta.getItem("catalogTable"), _catalog_part(2)).alias("catalog_table"),
         F.get(paths, F.lit(0)).alias("path"),
         paths.alias("paths"),
-        meta.getItem("jdbcUrl").alias("jdbc_url"),
+        F.coalesce(meta.getItem("jdbcUrl"), _saved_url()).alias("jdbc_url"),
         F.coalesce(meta.getItem("jdbcTable"), _nonempty(F.regexp_extract(
-            F.col("node_name"), r"^Scan JDBCRelation\((.+?)\)", 1))).alias("jdbc_table"),
+            F.col("node_name"), r"^Scan JDBCRelation\((.+)\)(?: \[numPartitions=\d+\])?\s*$", 1)), _saved_option("dbtable")).alias("jdbc_table"),
         "app_key", "node_name", meta.getItem("ReadSchema").alias("read_schema"),
     )
 
@@ -393,121 +509,82 @@ def _catalog_part(group: int) -> Column:
     of a sink (`` `spark_catalog`.`db`.`t` `` in its plan string)."""
     scan = F.regexp_extract(F.col("node_name"), r"^Scan \w+ (?:spark_catalog\.)?([^.\s]+)\.([^.\s]+)$", group)
     sink = F.regexp_extract(F.col("simple"), r"^Execute \w+ .*`spark_catalog`\.`([^`]+)`\.`([^`]+)`", group)
-    return F.coalesce(_nonempty(scan), _nonempty(sink))
-
-
-def _sink_path(simple: Column) -> Column:
-    """Output path of a file insert: first argument in its plan string."""
-    p = F.regexp_extract(simple, r"^Execute InsertIntoHadoopFsRelationCommand ([^,]+),", 1)
-    return F.when(p != "", p)
+    made = F.regexp_extract(F.col("command_args"), r"^`spark_catalog`\.`([^`]+)`\.`([^`]+)`", group)
+    return F.coalesce(_nonempty(scan), _nonempty(sink), _nonempty(made))
 
 
-# ---------------------------------------------------------------------------
-# Writing event logs from lineage tables (replay and round-trip checks).
-# ---------------------------------------------------------------------------
+def _saved_option(name: str) -> Column:
+    """An option of a save command's logged arguments ``Provider@1, [a=x, b=y], Mode``."""
+    return _nonempty(F.regexp_extract(F.col("command_args"), rf"[\[ ]{name}=(.*?)(?:, \w+=|\])", 1))
 
-def app_id_of(app_name: Column) -> Column:
-    """Application id used when logs are written from the fixture tables."""
-    return F.concat(F.lit("local-"), F.substring(app_name, 5, 1 << 20))
 
+def _saved_url() -> Column:
+    """The URL of a save command if it is logged, else one that names the driver's platform."""
+    url, driver = _saved_option("url"), F.lower(_saved_option("driver"))
+    platform = F.coalesce(*[F.when(driver.startswith(c), F.lit(p)) for c, p in DRIVERS])
+    return F.coalesce(F.when(~url.contains("(redacted)"), url),
+                      F.when(platform.isNotNull(), F.concat(F.lit("jdbc:"), platform, F.lit(":(redacted)"))))
 
-def _millis(ts: Column) -> Column:
-    return F.unix_millis(ts.cast("timestamp"))
 
-
-def _object_with_children(head: Column, children: Column) -> Column:
-    """``head`` is a JSON object text; append a ``children`` array of raw JSON."""
-    return F.concat(F.regexp_replace(head, "}$", ""), F.lit(',"children":['), children, F.lit("]}"))
+def _sink_path(simple: Column) -> Column:
+    """Output path of a file insert: first argument in its plan string."""
+    p = F.regexp_extract(simple, r"^Execute InsertIntoHadoopFsRelationCommand ([^,]+),", 1)
+    return F.when(p != "", p)
 
 
-def plan_json(plan_nodes: DataFrame) -> DataFrame:
-    """``sparkPlanInfo`` text per execution, built bottom-up level by level.
+def folded(executions: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Executions and nodes with the query executions of childless commands
+    put under their command (the tree of ``rootExecutionId``).
 
-    Depths come from a join loop from the roots; then each level's nodes
-    embed their children's text, grouped by parent (bounded by fan-out).
-    """
-    keys = ["execution_id"]
-    nodes = with_paths(plan_nodes).select(
-        *keys, "node_id", "parent_id",
-        F.to_json(F.struct(
-            F.col("node_class").alias("nodeName"), F.col("node_class").alias("simpleString"),
-            F.map_filter(F.create_map(
-                F.lit("nodeId"), F.col("node_id").cast("string"), F.lit("edgeKind"), F.col("edge_kind"),
-                F.lit("nodeClass"), F.col("node_class"), F.lit("relationClass"), F.col("relation_class"),
-                F.lit("catalogDb"), F.col("catalog_db"), F.lit("catalogTable"), F.col("catalog_table"),
-                F.lit("path"), F.col("path"), F.lit("paths"), F.to_json("paths"), F.lit("jdbcUrl"), F.col("jdbc_url"),
-                F.lit("jdbcTable"), F.col("jdbc_table")), lambda k, v: v.isNotNull()).alias("metadata"),
-        )).alias("head"),
-    )
-    level = nodes.filter(F.col("parent_id").isNull())
-    levels = []
-    while not level.isEmpty():
-        levels.append(level)
-        parents = level.select(*keys, F.col("node_id").alias("parent_id"))
-        level = nodes.join(parents, [*keys, "parent_id"], "left_semi")
-    text = None
-    for level in reversed(levels):
-        if text is None:
-            text = level.select(*keys, "node_id", "parent_id",
-                                _object_with_children(F.col("head"), F.lit("")).alias("json"))
-            continue
-        kids = text.groupBy(*keys, "parent_id").agg(
-            F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("node_id", "json"))),
-                                         lambda x: x["json"])).alias("kids"))
-        text = level.join(kids.withColumnRenamed("parent_id", "node_id"), [*keys, "node_id"], "left").select(
-            *keys, "node_id", "parent_id",
-            _object_with_children(F.col("head"), F.coalesce("kids", F.lit(""))).alias("json"))
-    return text.select(*keys, F.col("json").alias("plan_json"))
-
-
-def encode_event_log(executions: DataFrame, plan_nodes: DataFrame) -> DataFrame:
-    """Event lines (``app_dir``, ``value``) for executions and their plans."""
-    apps = executions.groupBy("app_name").agg(
-        F.max("master").alias("master"), F.max("default_fs").alias("default_fs"),
-        F.max("input_override").alias("input_override"), F.max("output_override").alias("output_override"),
-        F.min("started_at").alias("t0"), F.max("started_at").alias("t1"),
-    ).withColumn("app_id", app_id_of(F.col("app_name")))
-    app_dir = F.concat(F.lit("eventlog_v2_"), F.col("app_id"))
-    start = apps.select(app_dir.alias("app_dir"), F.to_json(F.struct(
-        F.lit(EV_APP_START).alias("Event"), F.col("app_name").alias("App Name"), F.col("app_id").alias("App ID"),
-        _millis(F.col("t0")).alias("Timestamp"), F.lit("spark").alias("User"))).alias("value"))
-    props = F.map_filter(F.create_map(
-        F.lit(KEY_MASTER), F.col("master"), F.lit(KEY_APP_NAME), F.col("app_name"),
-        F.lit(KEY_INPUT_NAME), F.nullif(F.col("input_override"), F.lit("")),
-        F.lit(KEY_OUTPUT_NAME), F.nullif(F.col("output_override"), F.lit(""))), lambda k, v: v.isNotNull())
-    hadoop = F.map_filter(F.create_map(F.lit(KEY_DEFAULT_FS), F.col("default_fs")), lambda k, v: v.isNotNull())
-    env = apps.select(app_dir.alias("app_dir"), F.to_json(F.struct(
-        F.lit(EV_ENV).alias("Event"), props.alias("Spark Properties"), hadoop.alias("Hadoop Properties"))).alias("value"))
-    end = apps.select(app_dir.alias("app_dir"), F.to_json(F.struct(
-        F.lit(EV_APP_END).alias("Event"), _millis(F.col("t1")).alias("Timestamp"))).alias("value"))
-    head = F.to_json(F.struct(
-        F.lit(EV_SQL_START).alias("Event"), F.col("execution_id").alias("executionId"),
-        F.col("execution_id").alias("rootExecutionId"), F.col("description"),
-        F.lit("").alias("details"), F.lit("").alias("physicalPlanDescription"),
-        _millis(F.col("started_at")).alias("time")))
-    body = F.when(F.col("plan_json").isNull(), head).otherwise(
-        F.concat(F.regexp_replace(head, "}$", ""), F.lit(',"sparkPlanInfo":'), F.col("plan_json"), F.lit("}")))
-    sql = executions.join(plan_json(plan_nodes), "execution_id", "left").select(
-        F.concat(F.lit("eventlog_v2_"), app_id_of(F.col("app_name"))).alias("app_dir"), body.alias("value"))
-    return start.unionByName(env).unionByName(sql).unionByName(end)
-
-
-def write_event_log(lines: DataFrame, root: str) -> str:
-    """One folder per application, like rolling event logs.
-
-    Lines are range-partitioned on (application, line hash): a large
-    application is cut across as many tasks (and files) as its size needs,
-    small ones share a task, so no task holds a hot application whole.
+    Spark links every nested execution to the top one. Within one top execution
+    a command of ``COMMANDS`` without logged children takes the executions after
+    it, up to the next such command; their nodes follow its own, in order. A
+    JDBC save's query is an inner child, which the plan walk does not enter.
+    An execution that was taken has no job of its own.
     """
-    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (lines.repartitionByRange(parts, "app_dir", F.xxhash64("value"))
-     .write.mode("overwrite").partitionBy("app_dir").text(root))
-    return root
+    top = ["app_key", "root_execution_id"]
+    roots = nodes.filter(F.col("parent_id").isNull() & F.col("node_class").isin(*COMMANDS)).select(
+        "app_key", "execution_id", F.col("node_class").alias("command"))
+    alone = roots.join(nodes.filter(F.col("parent_id").isNotNull()).select("app_key", "execution_id").distinct(),
+                       ["app_key", "execution_id"], "left_anti")
+    keyed = executions.filter(F.col("root_execution_id").isNotNull()).select(*top, "execution_id").join(
+        alone, ["app_key", "execution_id"], "left")
+    # Only top executions with such a command and more executions than it.
+    several = keyed.groupBy(*top).agg(F.count("command").alias("commands"), F.count(F.lit(1)).alias("n")).filter("commands > 0 and n > 1")
+    order = Window.partitionBy(*top).orderBy("execution_id")
+    taken = keyed.join(several.select(*top), top, "left_semi").select(
+        "app_key", "execution_id", "command",
+        F.last(F.when(F.col("command").isNotNull(), F.struct(F.col("execution_id").alias("id"), "command")), True).over(order).alias("owner"))
+    taken = taken.filter("command is null and owner is not null").select(
+        "app_key", "execution_id", F.col("owner.id").alias("owner"), F.col("owner.command").alias("owner_command"))
+    sizes = nodes.groupBy("app_key", "execution_id").agg((F.max("node_id") + 1).alias("size"))
+    place = Window.partitionBy("app_key", "owner").orderBy("execution_id").rowsBetween(Window.unboundedPreceding, -1)
+    # The command itself is node 0 of its plan.
+    moved = taken.join(sizes, ["app_key", "execution_id"]).withColumn(
+        "offset", (F.coalesce(F.sum("size").over(place), F.lit(0)) + 1).cast("int"))
+    inner = F.when(F.col("owner_command") == "SaveIntoDataSourceCommand", F.lit("inner_query")).otherwise(F.lit("child"))
+    # A taken write command is its owner's own write: its children hang from the owner.
+    writes = nodes.filter(F.col("parent_id").isNull() & (F.col("node_class").endswith("Command") | (F.col("node_class") == "InsertIntoHiveTable")))
+    moved = moved.join(writes.select("app_key", "execution_id", F.col("node_id").alias("write")), ["app_key", "execution_id"], "left")
+    below = nodes.join(moved.drop("size"), ["app_key", "execution_id"]).filter("write is null or node_id <> write").select(
+        "app_key", F.col("owner").alias("execution_id"), (F.col("node_id") + F.col("offset")).alias("node_id"),
+        F.when(F.col("parent_id") != F.coalesce("write", F.lit(-1)), F.col("parent_id") + F.col("offset")).otherwise(0).alias("parent_id"),
+        F.when(F.col("edge_kind").isin("root", "child"), inner).otherwise(F.col("edge_kind")).alias("edge_kind"),
+        *[c for c in nodes.columns if c not in ("app_key", "execution_id", "node_id", "parent_id", "edge_kind")])
+    gone = taken.select("app_key", "execution_id")
+    kept = nodes.join(gone, ["app_key", "execution_id"], "left_anti").select(*nodes.columns)
+    return executions.join(gone, ["app_key", "execution_id"], "left_anti").select(*executions.columns), \
+        kept.unionByName(below.select(*nodes.columns))
+
+
+def tables_of(events: DataFrame) -> dict[str, DataFrame]:
+    """Executions and plan nodes of some events, with nested executions folded."""
+    executions = sql_executions(events)
+    nodes = plan_nodes(sql_starts(events).filter(F.col("plan_json").isNotNull()))
+    executions, nodes = folded(executions, nodes)
+    return {"events": events, "executions": executions, "plan_nodes": nodes}
 
 
 def lineage_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Executions and plan nodes read back from an event-log folder."""
-    events = written_events(spark, root)
-    executions = sql_executions(events)
-    nodes = plan_nodes(sql_starts(events).filter(F.col("plan_json").isNotNull()))
-    return {"events": events, "executions": executions, "plan_nodes": nodes}
+    return tables_of(written_events(spark, root))

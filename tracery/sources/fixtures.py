@@ -255,17 +255,18 @@ class Fixtures:
             _WRITTEN[key] = table
         return self.spark.table(table)
 
-    def event_log(self) -> str:
+    def event_log(self, kind: str = "captured") -> str:
         """Event-log folder written from the fixture executions and plans
-        (once per application and folder)."""
+        (once per application and folder): ``captured`` with lineage metadata,
+        ``physical`` as Spark logs plans itself."""
         from tracery.session import scratch_path
-        from tracery.sources import eventlog as EL
+        from tracery.sources import fixture_logs as L
 
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "eventlog")
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"eventlog-{kind}")
         root = _WRITTEN.get(key)
         if root is None:
-            root = EL.write_event_log(EL.encode_event_log(self.executions, self.plan_nodes),
-                                      scratch_path(self.spark, "eventlog"))
+            encode = L.encode_event_log if kind == "captured" else L.encode_physical_log
+            root = L.write_event_log(encode(self.executions, self.plan_nodes), scratch_path(self.spark, f"eventlog-{kind}"))
             _WRITTEN[key] = root
         return root
 
