@@ -1,10 +1,13 @@
 """End-to-end job: Spark event logs in, lineage tables out.
 
     python -m tracery.plans.jobs --events <event-log folder> --out <folder> [--catalog <folder>]
+    python -m tracery.plans.jobs --events <event-log folder> --out <folder> --follow "30 seconds"
 
-Writes ``job_io`` (lineage per execution), ``aspects`` (catalog records),
-``catalog`` (last write per URN and aspect) and ``failed_executions`` as
-parquet. Executions are keyed by ``(application, execution id)``, since event
+With ``--follow`` the logs of running applications are followed, and ``out``
+holds the versions of the catalog (``streaming/log_stream.py``). Otherwise the
+job writes ``job_io`` (lineage per execution), ``aspects`` (catalog records),
+``catalog`` (last write per URN and aspect), ``failed_executions`` and
+``unread_lines`` (lines of the logs that are no event, per file) as parquet. Executions are keyed by ``(application, execution id)``, since event
 logs of a fleet repeat execution ids across applications; the listener's
 number is the job number. With ``--catalog``, an earlier run's catalog is
 carried on: at an application's first event the jobs of its flow are removed
@@ -35,13 +38,9 @@ def lineage_from_event_logs(spark: SparkSession, events_root: str, out_root: str
     apply_runtime_conf(spark)
     ensure_checkpoint_dir(spark)
     tables = EL.lineage_tables(spark, events_root)
-    key = F.struct("app_key", "execution_id")
-    executions = tables["executions"].select(
-        key.alias("execution_id"), F.col("execution_id").alias("job_number"), "app_key",
-        "app_name", "master", "description", "started_at", "default_fs", "input_override", "output_override")
-    nodes = tables["plan_nodes"].withColumn("execution_id", key).select(*EL.NODE_COLS)
-    columns = plan_columns if plan_columns is not None else EL.scan_columns(tables["plan_nodes"])
-    columns = columns.withColumn("execution_id", key).drop("app_key")
+    executions, nodes, columns = EL.keyed(tables)
+    if plan_columns is not None:
+        columns = plan_columns.withColumn("execution_id", F.struct("app_key", "execution_id")).drop("app_key")
     plan = LineagePlan(executions, nodes, columns, listener=("app_key",), empty_schemas=False)
     out = out_root.rstrip("/")
     writes = plan.aspects
@@ -54,6 +53,7 @@ def lineage_from_event_logs(spark: SparkSession, events_root: str, out_root: str
         "aspects": plan.aspects,
         "catalog": C.latest_per_key(writes),
         "failed_executions": plan.failed,
+        "unread_lines": EL.unread_lines(EL.read_lines(spark, events_root)),
     }
     paths = {}
     for name, frame in outputs.items():
@@ -67,8 +67,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--events", required=True, help="event-log folder (one entry per application)")
     parser.add_argument("--out", required=True, help="output folder for the lineage tables")
     parser.add_argument("--catalog", help="catalog folder of an earlier run, in another output folder")
+    parser.add_argument("--follow", metavar="INTERVAL", help="follow running applications' logs, polling at this interval")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("tracery-lineage").getOrCreate()
+    if args.follow:
+        from tracery.streaming.log_stream import LogStream
+
+        out = args.out.rstrip("/")
+        LogStream(spark, args.events, f"{out}/catalog").start(f"{out}/checkpoint", args.follow).awaitTermination()
+        return
     for name, path in lineage_from_event_logs(spark, args.events, args.out, catalog=args.catalog).items():
         print(name, path)
 

@@ -319,7 +319,7 @@ select execution_id, node_id, parent_id, edge_kind, node_class, relation_class,
             else jdbc_table end as jdbc_table
 from fx_plan_nodes"""
     ctes.update({k: v.replace("fx_plan_nodes", "p_nodes").replace("fx_plan_columns", "(select * from fx_plan_columns where node_id < 0)")
-                 for k, v in _lineage_ctes("p_", "o_exec").items()})
+                 for k, v in {**_lineage_ctes("p_", "o_exec"), **_firsts("p_", "app_name")}.items()})
     ctes["r_exec"] = ("select e.*, r.run_no, r.run_execution_id as job_number "
                       "from fx_executions e join fx_runs r on r.execution_id = e.execution_id")
     ctes.update(_lineage_ctes("r_", "r_exec"))
@@ -431,6 +431,7 @@ from r_upsert u join fx_runs x on x.execution_id = u.execution_id
 where u.entity_type <> 'dataJob' or x.run_no = 2
    or not exists (select 1 from r_alive a where a.run_no = 2
                   and contains(u.urn, '(' || {_flow('a.app_name', 'a.master')} || ',ExecutionId_'))"""
+FINAL["stream_log_catalog"] = "select urn, aspect_name, aspect from p_aspects where entity_type = 'dataJob'"
 FINAL["stream_emit_log"] = ("select a.aspect_name, 'success' as outcome, count(w.urn) as n "
                             "from (values ('datasetProperties'), ('schemaMetadata'), ('dataFlowInfo'), ('dataJobInfo'), "
                             "('dataJobInputOutput')) a(aspect_name) left join r_writes w on w.aspect_name = a.aspect_name group by all")

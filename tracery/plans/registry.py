@@ -328,6 +328,12 @@ def stream_catalog_current(spark, sf_dir):
     return run(spark, sf_dir).select(*CATALOG_COLS)
 
 
+def stream_log_catalog(spark, sf_dir):
+    from tracery.streaming.log_stream import stream_log_catalog as run
+
+    return run(spark, sf_dir)
+
+
 def stream_emit_log(spark, sf_dir):
     from tracery.streaming.incremental import stream_emit_log as run
 
@@ -386,4 +392,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_first_events": stream_first_events,
     "stream_catalog_current": stream_catalog_current,
     "stream_emit_log": stream_emit_log,
+    "stream_log_catalog": stream_log_catalog,
 }

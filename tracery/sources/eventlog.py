@@ -13,12 +13,15 @@ needs:
 * S5 ``sparkPlanInfo`` -> ``plan_nodes`` rows, one per plan node.
 
 Logs of running applications (``.inprogress``) and compacted ones
-(``.compact``) are read like finished ones, plain or zstd-compressed. A
-compressed log is read by the text source as well, which cuts it at newline
-bytes; a task puts a log's pieces together in order and decompresses them as
-a stream, so neither a file's size nor an unfinished last frame matters. Logs
-in another codec are named in an error, and lines that are no event are
-counted by ``unread_lines``.
+(``.compact``) are read like finished ones, plain or zstd-compressed; of a
+running one, what its last frame holds so far. Decompression is a stream in
+Python, some KB of text at a time. Files that end in ``.zstd`` come as binary
+files (at most 2 GB each; Spark rolls logs at 128 MB), since the text source
+would split them. Another ending after the codec's hides it from the text
+source, which cuts the compressed bytes at newlines; a task puts a file's
+pieces together in order, so those have no size limit. Logs in another codec
+are named in an error, as are damaged logs of finished applications; lines
+that are no event are counted by ``unread_lines``.
 
 The plan tree is nested JSON of unbounded depth: each plan is walked once by
 a small Arrow-batched helper that emits one row per node with its preorder
@@ -97,8 +100,8 @@ STATE_SUFFIXES = (".inprogress", ".compact")
 _STATE = r"(\.inprogress|\.compact)+$"
 # The events the lineage job needs.
 KINDS = (EV_SQL_START, EV_APP_START, EV_APP_END, EV_ENV)
-# Decompressed text per output batch.
-LINES_BYTES = 4 << 20
+# Decompressed text per output batch, and compressed bytes taken at once.
+LINES_BYTES, PIECE_BYTES = 4 << 20, 1 << 16
 
 
 class _Frames:
@@ -135,33 +138,40 @@ class _Frames:
 
 
 def _decompressed(batches):
-    """``path, value`` lines of zstd files from their newline-cut pieces, in order."""
+    """``path, value`` lines of zstd files from their pieces, in order, which were
+    cut at newlines. ``whole`` files must end with a complete frame."""
     import pyarrow as pa
 
-    path, frames, lines, size, last = None, None, [], 0, b""
+    path, frames, lines, size, last, whole = None, None, [], 0, b"", False
 
     def batch(found):
         return pa.RecordBatch.from_arrays(
             [pa.array([path] * len(found), pa.string()), pa.array([x.decode("utf-8", "replace") for x in found], pa.string())],
             names=["path", "value"])
 
+    def rest():
+        if whole and not frames.now.eof:
+            raise ValueError(f"event log of a finished application ends within a frame: {path}")
+        return batch(lines + frames.end())
+
     for b in batches:
-        for p, piece in zip(b.column("path").to_pylist(), b.column("piece").to_pylist()):
+        for p, ends, piece in zip(b.column("path").to_pylist(), b.column("whole").to_pylist(), b.column("piece")):
             if p != path:
                 if frames is not None:
-                    lines += frames.end()
+                    yield rest()
+                path, frames, lines, size, last, whole = p, _Frames(), [], 0, b"", ends
+            piece = memoryview(piece.as_buffer())
+            for at in range(0, max(len(piece), 1), PIECE_BYTES):
+                found = frames.feed(last + piece[at:at + PIECE_BYTES])
+                last = b""
+                lines += found
+                size += sum(map(len, found))
+                if size >= LINES_BYTES:
                     yield batch(lines)
-                path, frames, lines, size, last = p, _Frames(), [], 0, b""
-            found = frames.feed(last + piece)
+                    lines, size = [], 0
             last = b"\n"
-            lines += found
-            size += sum(map(len, found))
-            if size >= LINES_BYTES:
-                yield batch(lines)
-                lines, size = [], 0
     if frames is not None:
-        lines += frames.end()
-        yield batch(lines)
+        yield rest()
 
 
 def _superseded(paths: list[str]) -> list[str]:
@@ -186,33 +196,42 @@ def _folders(path: str) -> int:
 def read_lines(spark: SparkSession, root: str | list[str], below: str | None = None) -> DataFrame:
     """``app_key, path, value``: every line of the logs below ``root``.
 
-    ``root`` may be a list of files of a log folder ``below``. One listing
-    serves plain and compressed logs. The application key is the path's first
-    component below the folder, without the endings of a file's state and codec.
+    ``root`` may be a list of files of a log folder ``below``, which may all be
+    written to. One listing serves plain and compressed logs. The application
+    key is the path's first component below the folder, without the endings of
+    a file's state and codec.
     """
+
     files = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
     paths = files.inputFiles()
     for path in paths:
         if re.sub(_STATE, "", path).endswith(OTHER_SUFFIXES):
             raise ValueError(f"event log in a codec that is not read: {path}")
-    old = _superseded(paths)
-    path = F.col("_metadata.file_path")
-    packed = F.regexp_replace(F.col("_metadata.file_name"), _STATE, "").endswith(COMPRESSED_SUFFIX)
-    if old:
-        names = [p.rsplit("/", 2)[-2:] for p in old]
-        gone = F.concat_ws("/", F.slice(F.split(path, "/"), -2, 2)).isin(["/".join(n) for n in names])
-        files = files.filter(~gone)
-    # Both filters are on file metadata, so each branch opens its own files only.
-    plain = files.filter(~packed).select(path.alias("path"), "value")
-    pieces = files.filter(packed).select(
+    old = ["/".join(p.rsplit("/", 2)[-2:]) for p in _superseded(paths)]
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    gone = F.concat_ws("/", F.slice(F.split(path, "/"), -2, 2)).isin(old)
+    packed = name.rlike(rf"\{COMPRESSED_SUFFIX}{_STATE}")
+    # All filters are on file metadata, so each branch opens its own files only.
+    plain = files.filter(~gone & ~packed & ~name.endswith(COMPRESSED_SUFFIX)).select(path.alias("path"), "value")
+    pieces = files.filter(~gone & packed).select(
         path.alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"),
-        F.col("value").cast("binary").alias("piece"))
+        F.lit(False).alias("whole"), F.col("value").cast("binary").alias("piece"))
     # A compressed stream is sequential: one log is one task's, a piece at a time.
-    unpacked = pieces.repartition("path").sortWithinPartitions("path", "start", "at").select("path", "piece").mapInArrow(
-        _decompressed, "path string, value string")
-    parts = F.filter(F.split(F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda p: p != "")
-    entry = F.get(parts, F.lit(_folders(below if below is not None else root)))
-    return plain.unionByName(unpacked).select(
+    kind = "path string, value string"
+    columns = ["path", "whole", "piece"]
+    found = plain.unionByName(pieces.repartition("path").sortWithinPartitions("path", "start", "at").select(*columns).mapInArrow(
+        _decompressed, kind))
+    if any(p.endswith(COMPRESSED_SUFFIX) for p in paths):
+        # Rolled files of running applications are told by their folder's status file.
+        running = {m[1] for p in paths if (m := re.search(r"([^/]+)/appstatus_[^/]*\.inprogress$", p))}
+        closed = F.lit(below is None) & ~F.element_at(F.split("path", "/"), -2).isin(sorted(running))
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*" + COMPRESSED_SUFFIX)
+                 .load(root).filter(~F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).isin(old)))
+        found = found.unionByName(files.select("path", closed.alias("whole"), F.col("content").alias("piece")).mapInArrow(
+            _decompressed, kind))
+    steps = F.filter(F.split(F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda p: p != "")
+    entry = F.get(steps, F.lit(_folders(below if below is not None else root)))
+    return found.select(
         F.regexp_replace(entry, r"(\.zstd|\.inprogress|\.compact)+$", "").alias("app_key"), "path", "value")
 
 
@@ -578,13 +597,37 @@ def folded(executions: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFram
 
 
 def tables_of(events: DataFrame) -> dict[str, DataFrame]:
-    """Executions and plan nodes of some events, with nested executions folded."""
-    executions = sql_executions(events)
-    nodes = plan_nodes(sql_starts(events).filter(F.col("plan_json").isNotNull()))
+    """Executions and plan nodes of some events, with nested executions folded.
+
+    Both are written once: every step of a lineage job reads them, and plans
+    are not parsed again for each.
+    """
+    from tracery.session import scratch_path
+
+    spark, folder = events.sparkSession, scratch_path(events.sparkSession, "event-tables")
+
+    def cut(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+
+    executions = cut(sql_executions(events), "all-executions")
+    nodes = cut(plan_nodes(sql_starts(events).filter(F.col("plan_json").isNotNull())), "all-nodes")
     executions, nodes = folded(executions, nodes)
-    return {"events": events, "executions": executions, "plan_nodes": nodes}
+    return {"events": events, "executions": cut(executions, "executions"), "plan_nodes": cut(nodes, "nodes")}
 
 
 def lineage_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Executions and plan nodes read back from an event-log folder."""
     return tables_of(written_events(spark, root))
+
+
+def keyed(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Executions, nodes and scan columns of a fleet, keyed by application and
+    execution, since event logs repeat execution numbers across applications;
+    the logged number is the job number."""
+    key = F.struct("app_key", "execution_id")
+    executions = tables["executions"].select(
+        key.alias("execution_id"), F.col("execution_id").alias("job_number"), "app_key",
+        "app_name", "master", "description", "started_at", "default_fs", "input_override", "output_override")
+    nodes = tables["plan_nodes"].withColumn("execution_id", key).select(*NODE_COLS)
+    return executions, nodes, scan_columns(tables["plan_nodes"]).withColumn("execution_id", key).drop("app_key")
