@@ -9,7 +9,7 @@ filter over those rows:
 * plan walk (I2, ``pass`` 1): every tracked relation in the tree proper
   (``root`` and ``child`` edges);
 * cached plans (I9-I11): leaves reached through ``cached`` edges from a
-  visited in-memory relation, found by a join loop to a fixed point.
+  visited in-memory relation, found by pointer doubling.
 
 Visit order is carried as ``(pass, node_id, leaf_id, sub)``; node ids are
 preorder positions, so ordering by them reproduces the walk order.
@@ -17,8 +17,6 @@ preorder positions, so ordering by them reproduces the walk order.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +30,8 @@ CACHE_CLASS = "InMemoryRelation"
 SCAN_LEAVES = ("FileSourceScanExec", "RowDataSourceScanExec")
 HIVE_SCAN_MARK = "HiveTableScanExec"
 
-# Deeper nesting of cached plans can only be a cycle of parent ids.
-MAX_NESTING = 1000
+# Rounds of pointer doubling; node ids are 32-bit, so more can only be a cycle of parent ids.
+MAX_ROUNDS = 32
 
 VISIT_COLS = (KEY, "pass", "node_id", "leaf_id", "node_class", *NODE_ATTRS,
               "env", "input_override", "col_node")
@@ -75,64 +73,52 @@ def direct_visits(tracked: DataFrame, plan_nodes: DataFrame) -> DataFrame:
 
 
 def cached_leaves(visits: DataFrame, plan_nodes: DataFrame, checkpoint: bool = True,
-                  unroll: int = 2, buckets: int | None = None, written: list | None = None) -> DataFrame:
+                  buckets: int | None = None, written: list | None = None) -> DataFrame:
     """I9 + I10: leaves of the cached plans of visited in-memory relations.
 
     An ``InMemoryTableScanExec`` leaf stands for another cached relation; its
-    ``cached`` children are that relation's plan, so the closure simply keeps
-    following ``cached`` edges. Levels are joins over the ``cached`` subset of
-    ``plan_nodes``; ``unroll`` levels are planned lazily, then one cheap
-    emptiness test on the next level decides whether deeper nesting exists.
-    Deeper levels continue in rounds, each cut by a reliable checkpoint.
-    Effective leaves are reached nodes without ``cached`` children.
+    ``cached`` children are that relation's plan, so a leaf's owner is the first
+    node above it that no ``cached`` edge leads to. Owners are found by pointer
+    doubling over the ``cached`` subset of ``plan_nodes``: every node points at
+    its parent, and each round at what its pointer's node points at, so a chain
+    of n levels takes log2(n) rounds. A round is one join of that subset, bucketed
+    like the inputs, and is written once. Leaves are nodes without ``cached``
+    children.
     """
-    # The closure only needs plan_nodes: start from every in-memory relation
-    # of the tree proper, then keep the owners the plan walk visits.
-    frontier = plan_nodes.filter(
-        (F.col("node_class") == CACHE_CLASS) & F.col("edge_kind").isin("root", "child")
-    ).select(KEY, F.col("node_id").alias("owner"), F.col("node_id").alias("parent_id"))
     cached = plan_nodes.filter(F.col("edge_kind") == "cached").select(
         KEY, "parent_id", "node_id", "node_class", *NODE_ATTRS
     )
-    if checkpoint:
-        # The cached edges are a small slice of plan_nodes that every level
-        # joins: write it once (bucketed like the inputs) instead of
-        # rescanning plan_nodes per level.
+
+    def cut(frame: DataFrame, name: str) -> DataFrame:
+        if not checkpoint:
+            return frame
+        # The cached edges are a small slice of plan_nodes that every round
+        # joins: written once instead of rescanning plan_nodes.
         from tracery.session import write_table
 
-        cached = write_table(cached, "cached_edges", bucket_by=KEY, buckets=buckets)
+        table = write_table(frame, name, bucket_by=KEY, buckets=buckets)
         if written is not None:
-            written.append(cached)
-
-    def deeper(front: DataFrame) -> DataFrame:
-        return front.join(cached, [KEY, "parent_id"], "inner").select(
-            KEY, "owner", "node_id", "node_class", *NODE_ATTRS
-        )
-
-    def next_front(level: DataFrame) -> DataFrame:
-        return level.select(KEY, "owner", F.col("node_id").alias("parent_id"))
-
-    levels: list[DataFrame] = []
-    while True:
-        if len(levels) > MAX_NESTING:
-            raise ValueError(f"cached plans nest deeper than {MAX_NESTING} levels: parent ids form a cycle")
-        for _ in range(unroll):
-            level = deeper(frontier)
-            levels.append(level)
-            frontier = next_front(level)
-        probe = deeper(frontier)
-        if probe.isEmpty():
+            written.append(table)
+        return table
+
+    cached = cut(cached, "cached_edges")
+    up = cached.select(KEY, "node_id", F.col("parent_id").alias("owner"))
+    for _ in range(MAX_ROUNDS):
+        over = up.select(KEY, F.col("node_id").alias("owner"), F.col("owner").alias("next"))
+        jumped = cut(up.join(over, [KEY, "owner"], "left").select(
+            KEY, "node_id", F.coalesce("next", "owner").alias("owner"), F.col("next").isNotNull().alias("moved")), "cached_owners")
+        up = jumped.select(KEY, "node_id", "owner")
+        if jumped.filter("moved").isEmpty():
             break
-        # Nesting deeper than the unrolled levels: cut lineage and go on.
-        frontier = next_front(probe.checkpoint(eager=True) if checkpoint else probe)
-        levels.append(probe)
+    else:
+        raise ValueError("cached plans nest without end: parent ids form a cycle")
     owners = visits.filter((F.col("pass") == 1) & (F.col("node_class") == CACHE_CLASS)).select(
         KEY, F.col("node_id").alias("owner"), "env", "input_override"
     )
-    reached = reduce(DataFrame.unionByName, levels)
     parents = cached.select(KEY, F.col("parent_id").alias("node_id")).distinct()
     return (
-        reached.join(parents, [KEY, "node_id"], "left_anti")
+        cached.drop("parent_id").join(parents, [KEY, "node_id"], "left_anti")
+        .join(up, [KEY, "node_id"], "inner")
         .join(owners, [KEY, "owner"], "inner")
         .select(
             KEY, F.lit(1).alias("pass"), F.col("owner").alias("node_id"), F.col("node_id").alias("leaf_id"),
