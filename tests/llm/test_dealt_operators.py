@@ -161,3 +161,50 @@ def test_only_conflicting_texts_are_escaped():
     assert formatted == "[INST] a [1] <b> [/INST] <\\/s>[\\INST] ok [\\/INST]</s>"
     with pytest.raises(chat_format.Conflict):
         chat_format.parse("[INST] a</s>")
+
+
+# -- 9 ------------------------------------------------------------------------
+
+def test_pairs_of_a_hot_pivot_are_dealt(spark):
+    from tracery.llm import near_dup
+
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, 3001)] + [(i, i - 1) for i in range(5000, 5100)], "a long, b long").cache()
+    side = spark.range(6000).select(F.col("id").alias("b"), (F.col("id") * 2).alias("v"))
+    got = near_dup.with_pivot(pairs, pairs, side, rows=50)
+    assert bag(got, "a", "b", "v") == bag(pairs.join(side, "b"), "a", "b", "v")
+    # One shuffle partition per copy and more: no copy meets more than twice the rows it is for.
+    per_copy = got.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(60)).alias("copy")).filter("b = 0").groupBy("copy").count()
+    assert per_copy.count() == 60 and per_copy.agg(F.max("count")).first()[0] <= 100
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = sorted(r["count"] for r in got.withColumn("task", F.spark_partition_id()).filter("b = 0").groupBy("task").count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(spread) == int(spark.conf.get("spark.sql.shuffle.partitions")) and spread[-1] <= 2 * spread[len(spread) // 2]
+
+
+def test_near_copies_of_one_text_with_a_copied_pivot(spark, monkeypatch):
+    from tracery.llm import near_dup
+
+    monkeypatch.setattr(near_dup, "PIVOT_ROWS", 20)
+    monkeypatch.setattr(near_dup.with_pivot, "__defaults__", (20,))
+    text = [f"w{k}" for k in range(120)]
+    rows = [(i, " ".join([*text[:i % 100], f"x{i}", *text[i % 100 + 1:]])) for i in range(150)] + [(900 + i, f"alone {i} " * 9) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dup.near_duplicates(docs)
+    assert bag(got, *got.columns) == sorted(brute.near(rows, 5), key=repr)
+
+
+# -- 5 ------------------------------------------------------------------------
+
+def test_toxicity_learns_from_one_row_per_id(spark):
+    from tracery.llm import toxicity
+
+    ids = [i for i in range(1, 60) if brute.crc(i, 5)]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids] + [(ids[0], f"copy {k}") for k in range(500)] + [(None, "x")] * 3,
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in ids] + [(ids[0], 1), (ids[1], None), (None, 1)], "doc_id long, toxic long")
+    rows = {r.doc_id: (r.text, r.toxic) for r in toxicity.training_rows(docs, labels, sample=10_000).collect()}
+    assert len(rows) == len(ids) and rows[ids[0]] == ("copy 0", 1) and rows[ids[1]] == (f"text {ids[1]}", 0)
+    assert toxicity.training_rows(docs, labels, sample=7).count() == 7

@@ -57,6 +57,8 @@ BLOCK = 2048
 PIVOTS = 3
 #: Buckets in common from which a pivot is tried; missing one only leaves work for step 3.
 SHARED_BUCKETS = 4
+#: Pairs that meet one copy of a pivot's row, and pivots with several copies, at most.
+PIVOT_ROWS, HOT_PIVOTS = 4096, 50_000
 _RNG = np.random.default_rng(20240229)
 _XOR = _RNG.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -182,10 +184,26 @@ def first_place(differs: np.ndarray) -> np.ndarray:
     return chunk * width + np.argmax(chunks_[np.arange(len(differs)), chunk], 1)
 
 
+def with_pivot(pairs: DataFrame, left: DataFrame, side: DataFrame, rows: int = PIVOT_ROWS) -> DataFrame:
+    """``left``, rows of ``pairs`` with more columns, joined with ``side`` on
+    ``b``. A pivot of more than ``rows`` pairs has its row of ``side`` in as many
+    copies as it needs, and its pairs are dealt over them by ``a``."""
+    per = max(rows, -(-pairs.count() // HOT_PIVOTS))  # so at most HOT_PIVOTS of them
+    hot = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > per).select(
+        "b", F.ceil(F.col("_n") / per).cast("int").alias("_copies"))
+    if hot.isEmpty():
+        return left.join(side, "b")
+    few = F.broadcast(hot)
+    salt = F.coalesce(F.pmod(F.xxhash64("a"), F.col("_copies")), F.lit(0)).cast("int").alias("_salt")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)).alias("_salt")
+    return left.join(few, "b", "left").select(*left.columns, salt).join(
+        side.join(few, "b", "left").select(*side.columns, copies), ["b", "_salt"]).drop("_salt")
+
+
 def within_distance(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of the pairs whose signatures and set sizes allow a link."""
     side = classes.select("id", "n", "sig")
-    joined = pairs.join(side.toDF("a", "n_a", "sig_a"), "a").join(side.toDF("b", "n_b", "sig_b"), "b").filter(
+    joined = with_pivot(pairs, pairs.join(side.toDF("a", "n_a", "sig_a"), "a"), side.toDF("b", "n_b", "sig_b")).filter(
         100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +218,7 @@ def within_distance(pairs: DataFrame, classes: DataFrame, percent: int) -> DataF
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sets have ``100 * common >= percent * all``."""
     items = sets.select("id", "items")
-    joined = pairs.join(items.toDF("a", "items_a"), "a").join(items.toDF("b", "items_b"), "b")
+    joined = with_pivot(pairs, pairs.join(items.toDF("a", "items_a"), "a"), items.toDF("b", "items_b"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     return joined.select("a", "b", common.alias("common"), (F.size("items_a") + F.size("items_b")).alias("both")).filter(
         100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
@@ -355,7 +373,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return tables.cut(labelled.join(spread.select("key"), "key", "left_semi"))
 
     grow(same_document(every, classes))
-    check(within_distance(stars(buckets.filter("id <> first"), "first"), classes, percent))
+    check(within_distance(tables.cut(stars(buckets.filter("id <> first"), "first")), classes, percent))
     rest = unfinished(buckets)
     for salt in range(PIVOTS):
         if rest.isEmpty():
@@ -363,7 +381,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         order = F.struct("id", "comp") if not salt else F.struct(F.xxhash64("id", F.lit(salt)), "id", "comp")
         pivot = rest.groupBy("key").agg(F.max(order).alias("p")).select(
             "key", F.col("p.id").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
-        check(within_distance(stars(rest.join(pivot, "key").filter("comp <> pivot_comp"), "pivot"), classes, percent))
+        check(within_distance(tables.cut(stars(rest.join(pivot, "key").filter("comp <> pivot_comp"), "pivot")), classes, percent))
         rest = unfinished(rest)
     if not rest.isEmpty():
         check(across_components(rest, classes, sets, percent))
