@@ -54,7 +54,12 @@ def plan_json(nodes: DataFrame) -> DataFrame:
     Depths come from a join loop from the roots; then each level's nodes
     embed their children's text, grouped by parent (bounded by fan-out).
     """
+    from tracery.session import scratch_path
+
     keys = ["execution_id"]
+    path = scratch_path(nodes.sparkSession, "log-nodes")  # every level reads them
+    nodes.write.parquet(path)
+    nodes = nodes.sparkSession.read.schema(nodes.schema).parquet(path)
     level = nodes.filter(F.col("parent_id").isNull())
     levels = []
     while not level.isEmpty():
