@@ -29,9 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tracery.llm.common import pieces, with_fields
+from tracery.llm.common import give_back, pieces, with_fields
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 #: Fixed value: Unicode white space.
 SPACE = r"\t-\r \x85\xa0  -     　"
 #: Fixed value: the word pattern of the tokenizer file.
@@ -78,6 +78,12 @@ class PairBpe:
         self.ids: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drops the caches at a task's end; the vocabulary stays."""
+        self.ids.clear()
+        self.chunks.clear()
+        give_back()
+
     # -- merging ---------------------------------------------------------------
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -197,7 +203,7 @@ _CODECS: dict[str, PairBpe] = {}
 
 
 def codec(path: str) -> PairBpe:
-    """One codec per Python worker, so its caches serve later tasks."""
+    """One codec per Python worker; its caches serve one task."""
     if path not in _CODECS:
         _CODECS[path] = PairBpe(path)
     return _CODECS[path]
@@ -213,6 +219,7 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_i
             ids = bpe.encode([t or "" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(ids, pa.list_(pa.int32()))],
                                              names=[*keep, "ids"])
+        bpe.forget()
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
@@ -230,6 +237,7 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
                 b.column("doc_id"), pa.array([len(x) for x in found], pa.int64()), pa.array(found, pa.list_(pa.int32())),
                 pa.array([sha256(bpe.decode(x).encode()).hexdigest() for x in found], pa.string()),
             ], names=["doc_id", "n_tokens", "ids", "decoded_sha256"])
+        bpe.forget()
 
     schema = with_fields(docs.select("doc_id").schema, "n_tokens long, ids array<int>, decoded_sha256 string")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -252,6 +260,7 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
                          pa.string()),
                 pa.array([sha256(bpe.decode(x).encode()).hexdigest() for x in found], pa.string()),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     schema = with_fields(docs.select("doc_id").schema, "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
