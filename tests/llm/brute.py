@@ -27,14 +27,14 @@ def contamination(docs, items):
     for item, text in items:
         w = word.findall((text or "").encode().lower())
         for k in range(max(1, len(w) - 12) if w else 0):
-            windows[tuple(w[k:k + 13])].add(str(item))
+            windows[tuple(w[k:k + 13])] |= set() if item is None else {str(item)}
     out = []
     for doc_id, text in docs:
         w = word.findall((text or "").encode().lower())
         hit, found = set(), set()
         for n in {len(k) for k in windows}:
             for k in range(len(w) - n + 1):
-                if (held := windows.get(tuple(w[k:k + n]))):
+                if (held := windows.get(tuple(w[k:k + n]))) is not None:
                     hit.update(range(k, k + n))
                     found |= held
         out.append((doc_id, len(w), len(hit), len(found), sha(",".join(sorted(found))),

@@ -29,16 +29,35 @@ def docs(request):
 
 def test_decontaminate(spark, docs, root):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{root}/benchmark.parquet").collect()]
-    items += [(900, SENTENCE), (901, SENTENCE), (902, "one two"), (903, None), (904, ""), (905, "İstanbul")]
+    items += [(900, SENTENCE), (901, SENTENCE), (902, "one two"), (903, None), (904, ""), (905, "İstanbul"),
+              (None, "two"), (None, SENTENCE + "x"), (None, None)]
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
     got = decontaminate.digest(decontaminate.find_contamination(docs, benchmark))
     want = brute.contamination(pairs(docs), items)
     assert ordered(tuple(r) for r in got.collect()) == ordered(want)
-    # The same in many small parts.
-    parts = decontaminate.find_contamination(docs, benchmark, part_bytes=200)
+    # The same with a pass for each of several parts.
+    part_bytes = sum(len(t or "") for _, t in items) // 4
+    assert sum(1 for _ in decontaminate.parts(benchmark, part_bytes)) > 2
+    parts = decontaminate.find_contamination(docs, benchmark, part_bytes=part_bytes)
     assert bag(decontaminate.digest(parts), *got.columns) == ordered(want)
-    kept = bag(decontaminate.remove_contaminated(docs, benchmark), "doc_id")
-    assert kept == ordered((w[0],) for w in want if not w[5])
+    assert bag(parts, *parts.columns) == bag(decontaminate.find_contamination(docs, benchmark), *parts.columns)
+    for kept in (decontaminate.remove_contaminated(docs, benchmark),
+                 decontaminate.remove_contaminated(docs, benchmark, part_bytes)):
+        assert kept.columns == docs.columns
+        assert bag(kept, "doc_id") == ordered((w[0],) for w in want if not w[5])
+
+
+def test_items_without_id_in_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    docs = spark.createDataFrame([(1, SENTENCE), (2, "one two"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, SENTENCE), (7, "two"), (None, "two"), (None, None)], "item_id long, text string")
+    got = decontaminate.digest(decontaminate.find_contamination(docs, items))
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    con.register("benchmark", items.toArrow())
+    want = con.execute(decontaminate.ORACLE).to_arrow_table().select(got.columns).to_pylist()
+    assert bag(got, *got.columns) == ordered(tuple(r.values()) for r in want)
+    assert [(r.n_hit > 0, r.n_items) for r in got.orderBy("doc_id").collect()] == [(True, 0), (True, 1), (False, 0)]
 
 
 def test_contaminated_spans_map_to_the_original(spark):
