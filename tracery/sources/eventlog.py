@@ -23,9 +23,9 @@ pieces together in order, so those have no size limit. Logs in another codec
 are named in an error, as are damaged logs of finished applications; lines
 that are no event are counted by ``unread_lines``.
 
-The plan tree is nested JSON of unbounded depth: each plan is walked once by
-a small Arrow-batched helper that emits one row per node with its preorder
-id and nearest kept ancestor; the mapping to lineage columns is Spark. Nodes carrying lineage metadata
+The plan tree is nested JSON: ``plan_walk`` parses each plan once into a variant
+and splits it into one row per node with its preorder id and nearest kept
+ancestor. Nodes carrying lineage metadata
 (``nodeClass`` etc., as a plan-capturing listener writes them) are taken as
 is; plain physical plans are mapped by node name (best effort, see
 ``PHYSICAL_NAMES``).
@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracery.operators.extract import with_paths
+from tracery.sources.plan_walk import outer_fields, walk
 
 # Event names as written by Spark.
 EV_SQL_START = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
@@ -59,10 +59,6 @@ KEY_DEFAULT_FS = "fs.defaultFS"
 KEY_INPUT_NAME = "spark.hdfs.ingestion.input.path"
 KEY_OUTPUT_NAME = "spark.hdfs.ingestion.output.path"
 
-# Physical wrappers that stand for their single child.
-WRAPPERS = ("AdaptiveSparkPlan", "WholeStageCodegen", "InputAdapter", "ColumnarToRow", "WriteFiles",
-            "RowToColumnar", "AQEShuffleRead", "ResultQueryStage", "ShuffleQueryStage")
-
 START_SCHEMA = T.StructType([
     T.StructField("executionId", T.LongType()),
     T.StructField("rootExecutionId", T.LongType()),
@@ -397,68 +393,9 @@ def _location_paths(meta: Column) -> Column:
 UNLISTED = "(more paths, not in the event log)"
 
 
-FLAT_SCHEMA = ("app_key string, execution_id long, node_id int, parent_id int, in_cache boolean, "
-               "node_name string, simple string, meta_json string, command_args string")
-_WRAPPER_PREFIXES = tuple(WRAPPERS)
-# Plan nodes held per output batch, beyond the plan at hand.
-NODES_PER_BATCH = 20_000
-
-
-def _flatten_plans(batches):
-    """Walk each plan's JSON once in preorder, one row per kept node.
-
-    Physical wrappers (whole-stage codegen, adaptive plan, ...) are skipped
-    and their children attached to the nearest kept ancestor; ids are the
-    ``nodeId`` metadata when present, else preorder positions. Per-row
-    helper for ``mapInPandas`` (Arrow batches, no shuffle).
-    """
-    import json
-
-    import pandas as pd
-
-    cols = ("app_key", "execution_id", "node_id", "parent_id", "in_cache", "node_name", "simple", "meta_json", "command_args")
-
-    def frame(out):
-        return pd.DataFrame(out, columns=list(cols)).astype({"node_id": "Int32", "parent_id": "Int32"})
-
-    for pdf in batches:
-        out = {c: [] for c in cols}
-        for app, ex, text, args in zip(pdf["app_key"], pdf["execution_id"], pdf["plan_json"], pdf["command_args"]):
-            if text is None:
-                continue
-            seq = 0
-            stack = [(json.loads(text), None, False)]
-            while stack:
-                node, parent, in_cache = stack.pop()
-                name = node.get("nodeName") or ""
-                meta = node.get("metadata") or {}
-                kept = "nodeClass" in meta or not name.startswith(_WRAPPER_PREFIXES)
-                me = parent
-                if kept:
-                    me = int(meta["nodeId"]) if "nodeId" in meta else seq
-                    seq += 1
-                    for c, v in zip(cols, (app, ex, me, parent, in_cache, name, node.get("simpleString"),
-                                           json.dumps(meta), None if parent is not None else args)):
-                        out[c].append(v)
-                below = in_cache or name.startswith("InMemoryTableScan")
-                for child in reversed(node.get("children") or []):
-                    stack.append((child, me, below))
-            if len(out["node_id"]) >= NODES_PER_BATCH:
-                yield frame(out)
-                out = {c: [] for c in cols}
-        yield frame(out)
-
-
 def plan_nodes(starts: DataFrame) -> DataFrame:
-    """Flatten ``sparkPlanInfo`` to one row per node.
-
-    Trees have no depth bound, so each plan is walked once by a small
-    Arrow-batched helper (one pass over the text, no shuffle); mapping
-    metadata and physical names to the lineage columns is Spark.
-    """
-    flat = starts.select("app_key", "execution_id", "plan_json", "command_args").mapInPandas(_flatten_plans, FLAT_SCHEMA)
-    meta = F.from_json("meta_json", T.MapType(T.StringType(), T.StringType()))
-    return _node_rows(flat.withColumn("meta", meta))
+    """Flatten ``sparkPlanInfo`` to one row per node (``plan_walk``)."""
+    return _node_rows(walk(starts))
 
 
 def _node_rows(nodes: DataFrame) -> DataFrame:
@@ -492,31 +429,16 @@ def _node_rows(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _split_schema(batches):
-    """Fields of ``struct<a:int,b:array<...>>`` texts, split at the outer commas."""
-    import pandas as pd
-
-    for pdf in batches:
-        out = []
-        for app, ex, node, text in zip(pdf["app_key"], pdf["execution_id"], pdf["node_id"], pdf["read_schema"]):
-            depth, start, fields = 0, 0, []
-            body = text[len("struct<"):-1] + ","
-            for i, c in enumerate(body):
-                depth += (c in "<(") - (c in ">)")
-                if c == "," and depth == 0:
-                    fields.append(body[start:i])
-                    start = i + 1
-            out += [(app, ex, node, k, *f.split(":", 1)) for k, f in enumerate(fields) if ":" in f]
-        yield pd.DataFrame(out, columns=["app_key", "execution_id", "node_id", "ordinal", "column_text", "data_type"])
-
-
 def scan_columns(nodes: DataFrame) -> DataFrame:
     """Columns of file scans, from their logged ``ReadSchema``. A schema that
     Spark shortened in the log is left out, as its columns are not known."""
     known = nodes.filter(F.col("read_schema").startswith("struct<") & F.col("read_schema").endswith(">")
                          & ~F.col("read_schema").contains("...") & (F.length("read_schema") > 8))
-    return known.select("app_key", "execution_id", "node_id", "read_schema").mapInPandas(
-        _split_schema, "app_key string, execution_id long, node_id int, ordinal int, column_text string, data_type string")
+    fields = known.select("app_key", "execution_id", "node_id", F.posexplode(outer_fields(F.col("read_schema"))).alias("ordinal", "field"))
+    name = F.substring_index("field", ":", 1)
+    return fields.filter(F.col("field").contains(":")).select(
+        "app_key", "execution_id", "node_id", "ordinal", name.alias("column_text"),
+        F.col("field").substr(F.length(name) + 2, F.length("field")).alias("data_type"))
 
 
 def _nonempty(c: Column) -> Column:
