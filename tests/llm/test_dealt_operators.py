@@ -208,3 +208,34 @@ def test_toxicity_learns_from_one_row_per_id(spark):
     rows = {r.doc_id: (r.text, r.toxic) for r in toxicity.training_rows(docs, labels, sample=10_000).collect()}
     assert len(rows) == len(ids) and rows[ids[0]] == ("copy 0", 1) and rows[ids[1]] == (f"text {ids[1]}", 0)
     assert toxicity.training_rows(docs, labels, sample=7).count() == 7
+
+
+def test_only_rows_that_face_each_other_are_compared():
+    """Index rows whose group lacks the other side, or words of the lengths they may
+    be near, make no halves; pairs are those of the plain comparison, without warnings."""
+    import warnings
+
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(7, 9))) for _ in range(300)})
+    frequency, rank = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+    gram, n = np.unique(spelling.Grams(words).gram, return_counts=True)
+    frequency[gram], rank[gram] = n, np.argsort(np.argsort(n, kind="stable"), kind="stable")
+    key, pivot, word = spelling.index_rows(words, rank, frequency)
+    order = np.argsort(key, kind="stable")
+    key, pivot, word = key[order], pivot[order], word[order]
+    made = []
+
+    class Counted(spelling.Bucketed):
+        def _halves(self, group, *rest):
+            made.append(len(group))
+            return super()._halves(group, *rest)
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        got = Counted(words).pairs(key, pivot, word)
+    want = [[i, j] for i in range(len(words)) for j in range(i + 1, len(words)) if spelling.one_edit(words[i], words[j])]
+    assert got.tolist() == want and want
+    assert sum(made) < 2 * len(key)  # three times as many rows when every row was compared with every length
+    alone = np.arange(len(key), dtype=np.int64)
+    made.clear()
+    assert not len(Counted(words).pairs(alone, pivot, word)) and not sum(made)

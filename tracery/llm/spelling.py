@@ -117,7 +117,7 @@ def gram_counts(words: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "word", WORD_BYTES):
             g = Grams(b.column("word").to_pylist())
-            gram, n = np.unique(np.unique(g.word << 16 | g.gram) & 0xFFFF, return_counts=True)
+            gram, n = np.unique(distinct(g.word << 16 | g.gram) & 0xFFFF, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "words"])
 
     return words.select("word").mapInArrow(run, "gram long, words long").groupBy("gram").agg(F.sum("words").alias("words"))
@@ -241,6 +241,12 @@ def one_edit(a: str, b: str) -> bool:
     return a[at + 1:] == b[at + 1:] if len(a) == len(b) else a[at:] == b[at + 1:]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers; ``np.unique`` hashes them, which takes many times longer."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 class Bucketed:
     """Verified pairs of some whole groups."""
 
@@ -267,7 +273,7 @@ class Bucketed:
         size = self.size[word]
         least = np.minimum(size, other)
         half = least // 2
-        base = mix(group.view(np.uint64) + np.uint64(longer + 2) * _WEIGHT[1]) + least.astype(np.uint64) * _WEIGHT[2]
+        base = mix(group.view(np.uint64) + _WEIGHT[1:2] * np.uint64(longer + 2)) + least.astype(np.uint64) * _WEIGHT[2]
         return np.concatenate([mix(base ^ mix(self._part(word, 0 * half, half) + _WEIGHT[0])),
                                mix(base ^ mix(self._part(word, size - (least - half), size) + _WEIGHT[3]))])
 
@@ -280,19 +286,36 @@ class Bucketed:
             ok[k] = one_edit(self.words[i[k]], self.words[j[k]])
         return ok
 
+    def _facing(self, group: np.ndarray, pivot: np.ndarray, size: np.ndarray):
+        """Pivot and prefix rows of groups that hold both (rows come sorted by group),
+        and the least and largest word size that each row faces in its group: the key
+        holds the length, so most pivots face one size only."""
+        start = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+        rows = np.diff(np.append(start, len(group)))
+        low, high, none = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64), 1 << 40
+        for side in (pivot, ~pivot):
+            facing = np.repeat(np.minimum.reduceat(np.where(side, none, size), start), rows) if len(start) else low
+            low = np.where(side, facing, low)
+            facing = np.repeat(np.maximum.reduceat(np.where(side, -1, size), start), rows) if len(start) else high
+            high = np.where(side, facing, high)
+        return np.flatnonzero(pivot & (high >= low)), np.flatnonzero(~pivot & (high >= low)), low, high
+
     def pairs(self, group: np.ndarray, pivot: np.ndarray, word: np.ndarray) -> np.ndarray:
         """``(n, 2)`` word numbers, each pair once, the smaller first."""
-        x, y = np.flatnonzero(pivot), np.flatnonzero(~pivot)
-        sub, who, first = [], [], []
+        x, y, low, high = self._facing(group, pivot, self.size[word])
+        sub, who = [], []
         for longer in (-1, 0, 1):
-            for at, gap in ((y, longer), (x, -longer)):
-                sub.append(self._halves(group[at], longer, word[at], self.size[word[at]] + gap))
+            for at, gap, flag in ((y, longer, 0), (x, -longer, 1)):
+                other = self.size[word[at]] + gap
+                at = at[(low[at] <= other) & (other <= high[at])]
+                # The lowest bit tells the pivots, which come last in their half's bucket.
+                sub.append(self._halves(group[at], longer, word[at], self.size[word[at]] + gap) & ~np.uint64(1) | np.uint64(flag))
                 who.append(np.tile(word[at], 2))
-                first.append(np.full(2 * len(at), at is x))
-        sub, who, first = (np.concatenate(v) for v in (sub, who, first))
-        order = np.lexsort((first, sub))
-        sub, who, first = sub[order], who[order], first[order]
-        start = np.flatnonzero(np.append(True, sub[1:] != sub[:-1])) if len(sub) else np.zeros(0, np.int64)
+        sub, who = np.concatenate(sub), np.concatenate(who)
+        order = np.argsort(sub)
+        sub, who = sub[order], who[order]
+        first, half = sub & np.uint64(1), sub >> np.uint64(1)
+        start = np.flatnonzero(np.append(True, half[1:] != half[:-1])) if len(sub) else np.zeros(0, np.int64)
         rows = np.diff(np.append(start, len(sub)))
         right = np.add.reduceat(first.astype(np.int64), start) if len(start) else rows
         left = rows - right
@@ -309,12 +332,14 @@ class Bucketed:
             i = np.repeat(row[at:stop], w)
             j = np.repeat(begin[at:stop], w) + (np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w))
             i, j = who[i], who[j]
-            one = np.unique(np.minimum(i, j) * len(self.words) + np.maximum(i, j))
+            one = distinct(np.minimum(i, j) * len(self.words) + np.maximum(i, j))
             i, j = one // len(self.words), one % len(self.words)
             ok = self.near(i, j)
             found.append(np.stack([i[ok], j[ok]], 1))
             at = stop
-        return np.unique(np.concatenate(found), axis=0)
+        i, j = np.concatenate(found).T
+        one = distinct(i * len(self.words) + j)
+        return np.stack([one // len(self.words), one % len(self.words)], 1)
 
 
 def near_pairs(words: DataFrame, bucket: int = BUCKET) -> DataFrame:
