@@ -66,3 +66,22 @@ def test_records_of_runs_are_not_bucketed_by_urn(spark):
     table = writes.written_as[0]
     told = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table}").collect()}
     assert "Num Buckets" not in told and "run_no" in writes.columns
+
+
+def test_folding_reads_the_buckets_and_shuffles_no_node_for_its_joins(spark, monkeypatch):
+    fx = Q._prepare(spark, SF_SMALL)
+    events = EL.written_events(spark, fx.event_log("physical"))
+    seen, folded = [], EL.folded
+
+    def kept(executions, nodes):
+        for frame in (executions, nodes):
+            plan = frame.groupBy("app_key", "execution_id").count()._jdf.queryExecution().executedPlan().toString()
+            seen.append("hashpartitioning" in plan)
+        return folded(executions, nodes)
+
+    monkeypatch.setattr(EL, "folded", kept)
+    tables = EL.tables_of(events, fx.buckets)
+    assert seen == [False, False]
+    plain = EL.tables_of(events)
+    for name in ("executions", "plan_nodes"):
+        assert sorted(map(str, tables[name].collect())) == sorted(map(str, plain[name].select(*tables[name].columns).collect()))
