@@ -233,6 +233,33 @@ def test_a_run_again_leaves_no_stale_job(spark):
     assert {r.urn: r.aspect for r in both.result().filter("aspect_name = 'dataJobInputOutput'").collect()} == jobs
 
 
+def test_a_poll_deals_plans_by_execution_once(spark, monkeypatch):
+    """The folding and the lineage job read buckets: no plan is shuffled for their joins."""
+    root = tempfile.mkdtemp(prefix="tracery-dealt-")
+    put(root, "run", data=text([*settings("a"), *[start(i, insert(f"file:/o{i}", scan("file:/s"))) for i in range(4)]]))
+    stream, seen = LogStream(spark, root, scratch_path(spark, "dealt")), []
+    apply, folded = stream.sink.apply, EL.folded
+
+    def shuffled(frames, *by):
+        for frame in frames:
+            seen.append("hashpartitioning" in frame.groupBy(*by).count()._jdf.queryExecution().executedPlan().toString())
+
+    def joined(executions, nodes):
+        shuffled((executions, nodes), "app_key", "execution_id")
+        return folded(executions, nodes)
+
+    def applied(executions, nodes, columns, *rest, **more):
+        shuffled((executions, nodes, columns), "execution_id")
+        apply(executions, nodes, columns, *rest, **more)
+
+    monkeypatch.setattr(EL, "folded", joined)
+    monkeypatch.setattr(stream.sink, "apply", applied)
+    tables = {r.tableName for r in spark.sql("show tables").collect()}
+    assert stream.poll(0) and seen == [False] * 5
+    assert stream.result().filter("aspect_name = 'dataJobInputOutput'").count() == 4
+    assert {r.tableName for r in spark.sql("show tables").collect()} <= tables
+
+
 def test_a_reader_sees_one_version(spark):
     store = Versions(spark, scratch_path(spark, "versions"))
     rows = lambda n, v: spark.createDataFrame([(k, v) for k in range(n)], "k long, v string")
