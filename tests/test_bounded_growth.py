@@ -3,12 +3,14 @@
 import datetime as dt
 import glob
 
+import pytest
 from conftest import SF_SMALL
 from tracery.plans import registry as Q
 from tracery.session import apply_runtime_conf, scratch_path
 from tracery.sources import eventlog as EL
 from tracery.sources.fixture_logs import REPLAY_FILES, replay_files
 from tracery.sources.fixtures import Fixtures
+from tracery.streaming import incremental
 
 
 def test_replay_has_a_fixed_number_of_batches_in_order_of_time(spark):
@@ -46,6 +48,29 @@ def test_shuffles_have_as_many_partitions_as_the_data_has_buckets(spark):
         spark.conf.set("spark.sql.shuffle.partitions", was)
 
 
+def test_streams_shuffle_into_as_many_partitions_as_the_data_has_buckets(spark, monkeypatch):
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+
+    def started(session, *_, **__):
+        seen.append(int(session.conf.get("spark.sql.shuffle.partitions")))
+        raise InterruptedError
+
+    monkeypatch.setattr(Fixtures, "buckets", property(lambda self: int(was) + 5))
+    monkeypatch.setattr(Fixtures, "__getitem__", lambda self, name: spark.createDataFrame(
+        [], "execution_id long, app_name string, run_no int, run_execution_id long"))
+    monkeypatch.setattr(incremental, "run_stream", started)
+    try:
+        for query in (incremental.stream_catalog_upsert, incremental.stream_catalog_current, incremental.stream_emit_log,
+                      incremental.stream_first_events):
+            spark.conf.set("spark.sql.shuffle.partitions", was)
+            with pytest.raises(InterruptedError):
+                query(spark, SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert seen == [int(was) + 5] * 4
+
+
 def test_application_events_need_no_plan_walk_and_logs_are_compressed(spark, monkeypatch):
     for key in [k for k in Q._PLANS if k[1] == SF_SMALL and "event" in k[2]]:
         monkeypatch.delitem(Q._PLANS, key)
