@@ -5,10 +5,11 @@ import glob
 
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from tracery.plans import registry as Q
 from tracery.session import apply_runtime_conf, scratch_path
 from tracery.sources import eventlog as EL
-from tracery.sources.fixture_logs import REPLAY_FILES, replay_files
+from tracery.sources.fixture_logs import REPLAY_FILES, encode_event_log, replay_files, write_event_log
 from tracery.sources.fixtures import Fixtures
 from tracery.streaming import incremental
 
@@ -86,6 +87,40 @@ def test_application_events_need_no_plan_walk_and_logs_are_compressed(spark, mon
     assert files and all(f.endswith(".gz") for f in files)
 
 
+def test_only_the_kinds_asked_for_are_written(spark):
+    root = Fixtures(spark, SF_SMALL).event_log()
+    every, some = EL.read_events(spark, root), EL.written_events(spark, root, EL.APP_KINDS)
+    assert some.inputFiles() and not any(EL.EV_SQL_START in f for f in some.inputFiles())
+    assert every.filter(F.col("event") == EL.EV_SQL_START).count() > 0
+    want = every.filter(F.col("event").isin(*EL.APP_KINDS))
+    assert sorted(map(tuple, some.select(*want.columns).collect())) == sorted(map(tuple, want.select("app_key", "event", "json").collect()))
+
+
+def test_a_line_of_a_log_is_made_once_and_not_shuffled(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = [(f"eventlog_v2_app{i % 3}", f'{{"Event":"e{i}"}}') for i in range(60)]
+    lines = spark.createDataFrame(rows, "app_dir string, value string").repartition(4).mapInArrow(count, "app_dir string, value string")
+    root = write_event_log(lines, scratch_path(spark, "lines"))
+    assert made.value == 60
+    back = spark.read.schema("value string, app_dir string").text(root)
+    assert sorted((r.app_dir, r.value) for r in back.collect()) == sorted(rows)
+
+
+def test_plans_of_a_log_are_made_in_the_buckets_of_their_nodes(spark):
+    fx = Q._prepare(spark, SF_SMALL)
+    steps = []
+    plan = encode_event_log(fx.executions, fx.plan_nodes, fx.buckets, steps)._jdf.queryExecution().executedPlan().toString()
+    assert not steps and "SortMergeJoin" in plan
+    # Only the applications' own events are grouped anew.
+    assert all("hashpartitioning(app_name" in line for line in plan.splitlines() if " Exchange " in line)
+
+
 def test_records_of_runs_are_not_bucketed_by_urn(spark):
     writes = Q.two_runs(spark, SF_SMALL).writes
     table = writes.written_as[0]
