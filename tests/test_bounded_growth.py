@@ -7,10 +7,10 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 from tracery.plans import registry as Q
-from tracery.session import apply_runtime_conf, scratch_path
+from tracery.session import apply_runtime_conf, bucket_count, scratch_path
 from tracery.sources import eventlog as EL
 from tracery.sources.fixture_logs import REPLAY_FILES, encode_event_log, replay_files, write_event_log
-from tracery.sources.fixtures import Fixtures
+from tracery.sources.fixtures import BASE_ROWS_PER_BUCKET, Fixtures
 from tracery.streaming import incremental
 
 
@@ -38,6 +38,12 @@ def test_a_bucket_is_written_by_few_tasks(spark):
         assert len(frame.inputFiles()) <= 4 * fx.buckets  # four parts of a union at most
 
 
+def test_a_bucket_holds_what_a_task_sorts_without_spilling(spark):
+    # About 2 KB of a task's memory a base row; four tasks share 3,600 MB.
+    for rows in (45_000_000, 270_000_000):
+        assert rows / bucket_count(spark, rows, BASE_ROWS_PER_BUCKET) * 2_100 < 900e6
+
+
 def test_shuffles_have_as_many_partitions_as_the_data_has_buckets(spark):
     was = spark.conf.get("spark.sql.shuffle.partitions")
     try:
