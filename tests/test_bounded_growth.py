@@ -11,7 +11,9 @@ from tracery.session import apply_runtime_conf, bucket_count, scratch_path
 from tracery.sources import eventlog as EL
 from tracery.sources.fixture_logs import REPLAY_FILES, encode_event_log, replay_files, write_event_log
 from tracery.sources.fixtures import BASE_ROWS_PER_BUCKET, Fixtures
+from tracery.sources.plan_walk import walk
 from tracery.streaming import incremental
+from tracery.streaming.versions import FILES, Versions
 
 
 def test_replay_has_a_fixed_number_of_batches_in_order_of_time(spark):
@@ -151,3 +153,54 @@ def test_folding_reads_the_buckets_and_shuffles_no_node_for_its_joins(spark, mon
     plain = EL.tables_of(events)
     for name in ("executions", "plan_nodes"):
         assert sorted(map(str, tables[name].collect())) == sorted(map(str, plain[name].select(*tables[name].columns).collect()))
+
+
+def test_a_plan_is_parsed_once_and_numbered_in_its_row(spark, monkeypatch):
+    starts = spark.createDataFrame([("a", 1, '{"nodeName":"x","children":[{"nodeName":"y"}]}', None)],
+                                   "app_key string, execution_id long, plan_json string, command_args string")
+    assert "Exchange" not in walk(starts)._jdf.queryExecution().executedPlan().toString()
+    fx, seen = Q._prepare(spark, SF_SMALL), []
+    events = EL.written_events(spark, fx.event_log())
+
+    def started(some, made=EL.sql_starts):
+        seen.append(some)
+        return made(some)
+
+    monkeypatch.setattr(EL, "sql_starts", started)
+    plan = EL.plan_nodes(EL.sql_starts(events))._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan and "variant" not in plan
+    seen.clear()
+    EL.tables_of(events, fx.buckets)
+    assert len(seen) == 1
+
+
+def test_nodes_that_stay_are_not_dealt_again_after_folding(spark, monkeypatch):
+    fx, seen, folded = Q._prepare(spark, SF_SMALL), [], EL.folded
+
+    def kept(executions, nodes):
+        out = folded(executions, nodes)
+        plan = out[1]._jdf.queryExecution().executedPlan().toString()
+        seen.append([line for line in plan.split("Union")[1].splitlines() if "Exchange" in line])
+        return out
+
+    monkeypatch.setattr(EL, "folded", kept)
+    EL.tables_of(EL.written_events(spark, fx.event_log("physical")), fx.buckets)
+    # The nodes of executions that were taken go to their owner's bucket; the anti join's side has no exchange.
+    assert len(seen) == 1
+    spread = [line for line in seen[0] if "REPARTITION_BY_NUM" in line]
+    assert len(spread) == 1
+
+
+def test_files_of_a_version_grow_with_its_buckets_and_not_with_the_tasks(spark):
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    store = Versions(spark, scratch_path(spark, "versions"))
+    rows = spark.range(0, 4000, 1, 40).selectExpr("id", "cast(id as string) as v")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert store.stage(0, "t", rows, (F.col("id") % 20).cast("int")) == list(range(20))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    files = glob.glob(f"{store.folder.removeprefix('file:')}/t/{0:012d}/bucket=*/*.parquet")
+    assert 20 <= len(files) <= 20 * FILES < 20 * 40
+    store.commit(0, store.manifest(), {"t": (rows, list(range(20)), [])})
+    assert sorted((r.id, r.v) for r in store.read("t").collect()) == [(i, str(i)) for i in range(4000)]
